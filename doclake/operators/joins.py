@@ -1,0 +1,98 @@
+"""Look-up joins that hold when a key owns a large part of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from doclake.session import cut_lineage
+
+MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+
+# A key with more than this share of the rows is spread over several tasks, so
+# at most 1 / HOT_SHARE keys can be hot and their list is always small.
+HOT_SHARE = 0.001
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> bool:
+    """Whether ``df``, counted and weighed, is small enough to send to every task."""
+    rows, size = df.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    ).first()
+    return rows <= max_rows and size <= max_bytes
+
+
+def lookup_join(
+    big: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    spread_by: str | list[str],
+    how: str = "left",
+    rows_in: str | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Join ``big`` to a look-up table that has one row per ``key``.
+
+    The look-up is computed once and its size checked: a small one is
+    broadcast and ``big`` is not shuffled; a large one goes through
+    ``spread_join``. ``rows_in`` names a column of the look-up that already
+    holds the number of rows of ``big`` per key.
+    """
+    lookup = cut_lineage(lookup)
+    if fits_broadcast(lookup, max_rows, max_bytes):
+        return big.join(F.broadcast(lookup), key, how)
+    counts = lookup.select(key, F.col(rows_in).alias("n")) if rows_in else None
+    return spread_join(big, lookup, key, spread_by, how, counts)
+
+
+def hot_keys(key_counts: DataFrame, key: str, rows: str = "n", share: float = HOT_SHARE):
+    """Keys above ``share`` of all rows with the number of parts to split each into."""
+    total = key_counts.agg(F.coalesce(F.sum(rows), F.lit(0))).first()[0]
+    limit = max(int(total * share), 1)
+    return (
+        key_counts.filter(F.col(key).isNotNull() & (F.col(rows) > limit))
+        .select(key, F.ceil(F.col(rows) / limit).cast("int").alias("_parts"))
+    )
+
+
+def spread_join(
+    big: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    spread_by: str | list[str],
+    how: str = "left",
+    key_counts: DataFrame | None = None,
+    share: float = HOT_SHARE,
+) -> DataFrame:
+    """Shuffle join in which hot keys are split over many tasks.
+
+    Rows of a hot key take one of ``_parts`` numbers from the hash of
+    ``spread_by`` (columns that tell rows apart) and the key's look-up row is
+    repeated once per number. Rows without a key never match and are spread
+    as well. ``key_counts`` (key, n) saves a pass where it is already known.
+    """
+    if key_counts is None:
+        key_counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(cut_lineage(hot_keys(key_counts, key, share=share)))
+    spread = [spread_by] if isinstance(spread_by, str) else spread_by
+    parts: Column = F.when(F.col(key).isNull(), F.lit(int(1 / share))).otherwise(
+        F.coalesce("_parts", F.lit(1))
+    )
+    salted = (
+        big.join(hot, key, "left")
+        .withColumn("_part", F.pmod(F.xxhash64(*spread), parts).cast("int"))
+        .drop("_parts")
+    )
+    copies = (
+        lookup.join(hot, key, "left")
+        .withColumn(
+            "_part",
+            F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1, F.lit(1))),
+        )
+        .drop("_parts")
+    )
+    return salted.join(copies, [key, "_part"], how).drop("_part")
