@@ -116,7 +116,7 @@ def _to_batches(rows, schema: pa.Schema, size: int = 10_000):
 def _arrow_schema(result: StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    return to_arrow_schema(result, timezone="UTC")
+    return to_arrow_schema(result)
 
 
 def _local_best(documents, questions, doc_key, question_key, vector, k) -> DataFrame:

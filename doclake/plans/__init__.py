@@ -1,4 +1,4 @@
 from doclake.plans.ingest import ingest_tables
-from doclake.plans.layers import Lake, bronze, gold, marts, run_layers, silver
+from doclake.plans.layers import Lake, bronze, gold, run_layers, run_marts, silver
 
-__all__ = ["Lake", "bronze", "gold", "ingest_tables", "marts", "run_layers", "silver"]
+__all__ = ["Lake", "bronze", "gold", "ingest_tables", "run_layers", "run_marts", "silver"]

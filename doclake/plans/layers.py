@@ -147,7 +147,7 @@ def run_layers(lake: Lake, layer: str | None = None, batch_id: int = 0) -> dict[
     return {name: LAYERS[name](lake, batch_id) for name in chosen}
 
 
-def marts(lake: Lake) -> DataFrame:
+def run_marts(lake: Lake) -> DataFrame:
     """Store both marts and return the result of the quality rules.
 
     Staging reads the live rows of the keyed table, which takes a shuffle, so
