@@ -13,6 +13,7 @@ from doclake.operators.tables import KeyedTable
 from doclake.plans.layers import GOLD_SCHEMA, Lake, gold
 from doclake.plans.marts import stg_normalise
 from doclake.session import scratch_path
+from doclake.sources import scan_parquet, spread_small
 
 # The topic labels with words that are frequent in the given texts.
 LEXICON = {
@@ -26,8 +27,13 @@ LEXICON = {
 QUALITY = ("low", "high")
 
 
+TEXTS = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; the ones with texts to work on use all cores."""
+    df = scan_parquet(spark, f"{sf_dir}/{name}.parquet")
+    return spread_small(df) if name in TEXTS else df
 
 
 def fixed_time(text: str = "2025-03-01 12:00:00") -> Column:

@@ -57,7 +57,7 @@ _LOOKUPS = 50_000_000
 
 
 def _sentences(text: Column) -> Column:
-    return F.split(F.regexp_replace(text, r"([.!?])\s+", "$1\u0001"), "\u0001")
+    return F.split(text, r"(?<=[.!?])\s+")
 
 
 def _repeated(ordered: Column) -> Column:

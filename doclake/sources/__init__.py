@@ -1,6 +1,6 @@
 from doclake.sources.files import scan_files
 from doclake.sources.streams import kafka_options, stream_source
-from doclake.sources.tables import from_rows, scan_catalog, scan_csv, scan_parquet
+from doclake.sources.tables import from_rows, scan_catalog, scan_csv, scan_parquet, spread_small
 
 __all__ = [
     "from_rows",
@@ -9,5 +9,6 @@ __all__ = [
     "scan_csv",
     "scan_files",
     "scan_parquet",
+    "spread_small",
     "stream_source",
 ]

@@ -12,6 +12,17 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer splits than there are cores.
+
+    A small table is often one file with one row group, which one task would
+    work through alone. A large table has more splits than cores and is
+    returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_csv(
     spark: SparkSession,
     path: str,
