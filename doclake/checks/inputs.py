@@ -66,12 +66,33 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver without vectors."""
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, layer: str, build) -> DataFrame:
+    """A layer as a stored table, written once per application.
+
+    The layers above read stored tables in production too; without this every
+    query would build all the layers below it again.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, layer)
+    if key not in _STORED:
+        path = scratch_path(spark, layer)
+        build(spark, sf_dir).write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def build_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = filter_min_length(with_clean_text(raw_documents(spark, sf_dir)))
     return cleaned.drop("text_content").withColumn("processed_at", fixed_time())
 
 
+def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver without vectors."""
+    return stored(spark, sf_dir, "clean", build_clean)
+
+
 def plain_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, text_clean, text_length`` of every document, short ones included."""
     return with_clean_text(table(spark, sf_dir, "documents"), "text").select(
@@ -79,25 +100,31 @@ def plain_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold; enriched two hours after ingestion."""
-    return gold(
-        clean_documents(spark, sf_dir),
-        LEXICON,
-        now=F.col("ingested_at") + F.expr("interval 2 hours"),
-    )
+    later = F.col("ingested_at") + F.expr("interval 2 hours")
+    return gold(clean_documents(spark, sf_dir), LEXICON, now=later)
+
+
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "enriched", build_enriched)
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stg_normalise(enriched(spark, sf_dir))
 
 
-def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_documents(clean_documents(spark, sf_dir)).select(
         "file_name", "text_clean", "embedding"
     )
 
 
+def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver vectors."""
+    return stored(spark, sf_dir, "embedded", build_embedded)
+
+
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("question_id"), F.col("text").alias("question")

@@ -571,7 +571,7 @@ def term_tf_idf(spark, sf_dir):
 
 @query
 def embed_documents(spark, sf_dir):
-    docs = inputs.embedded(spark, sf_dir)
+    docs = inputs.build_embedded(spark, sf_dir)
     return (
         docs.select("file_name", F.posexplode("embedding").alias("bucket", "weight"))
         .filter("weight <> 0")
@@ -769,7 +769,7 @@ def silver(spark, sf_dir):
 @query
 def gold(spark, sf_dir):
     keyed = inputs.gold_table(spark)
-    keyed.upsert(inputs.enriched(spark, sf_dir), 0, ["enriched_at"])
+    keyed.upsert(inputs.build_enriched(spark, sf_dir), 0, ["enriched_at"])
     return _times_as_text(keyed.latest())
 
 
