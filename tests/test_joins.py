@@ -1,0 +1,47 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_of
+from doclake.operators import joins
+
+
+@pytest.fixture
+def skewed(spark):
+    """A third of the rows have one key, a tenth have none."""
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 500)
+    big = spark.range(6000).select("id", key.cast("int").alias("key"))
+    lookup = spark.range(400).select(F.col("id").cast("int").alias("key"), (F.col("id") * 2).alias("v"))
+    return big, lookup
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_all_ways_give_the_plain_join(skewed, how):
+    big, lookup = skewed
+    plain = sorted(map(str, big.join(lookup, "key", how).select("id", "key", "v").collect()))
+    small = joins.lookup_join(big, lookup, "key", "id", how)
+    large = joins.lookup_join(big, lookup, "key", "id", how, max_rows=10)
+    assert "BroadcastHashJoin" in plan_of(small)
+    for got in (small, large, joins.spread_join(big, lookup, "key", "id", how)):
+        assert sorted(map(str, got.select("id", "key", "v").collect())) == plain
+
+
+def test_hot_key_is_split(skewed):
+    big, _ = skewed
+    counts = big.groupBy("key").agg(F.count("*").alias("n"))
+    hot = {r["key"]: r["_parts"] for r in joins.hot_keys(counts, "key", share=0.01).collect()}
+    assert list(hot) == [7] and hot[7] >= 33
+
+
+def test_rows_in_lookup_are_used(skewed):
+    big, _ = skewed
+    lookup = big.groupBy("key").agg(F.count("*").alias("n")).filter("key is not null")
+    plain = sorted(map(str, big.join(lookup, "key", "left").select("id", "n").collect()))
+    got = joins.lookup_join(big, lookup, "key", "id", rows_in="n", max_rows=1)
+    assert sorted(map(str, got.select("id", "n").collect())) == plain
+
+
+def test_size_check_counts_bytes(spark):
+    wide = spark.createDataFrame([("x" * 5000,)], "s string")
+    assert joins.fits_broadcast(wide)
+    assert not joins.fits_broadcast(wide, max_bytes=1000)
+    assert not joins.fits_broadcast(spark.range(11), max_rows=10)
