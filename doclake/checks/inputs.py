@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doclake.operators.cleaning import filter_min_length, with_clean_text
+from doclake.operators.cleaning import clean_long_texts, with_clean_text
 from doclake.operators.features import embed_documents
 from doclake.operators.tables import KeyedTable
 from doclake.plans.layers import GOLD_SCHEMA, Lake, gold
@@ -84,7 +84,7 @@ def stored(spark: SparkSession, sf_dir: str, layer: str, build) -> DataFrame:
 
 
 def build_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = filter_min_length(with_clean_text(raw_documents(spark, sf_dir)))
+    cleaned = clean_long_texts(raw_documents(spark, sf_dir))
     return cleaned.drop("text_content").withColumn("processed_at", fixed_time())
 
 

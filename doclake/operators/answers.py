@@ -22,6 +22,9 @@ from doclake.operators.joins import fits_broadcast, spread_join
 from doclake.operators.similarity import topk_similar
 from doclake.session import cut_lineage
 
+# Document keys that a scan is asked for by name.
+MAX_SCAN_KEYS = 1000
+
 # A factory opens a provider's client and returns a function
 # (prompt, temperature) -> raw JSON reply.
 ClientFactory = Callable[[], Callable[[str, float], str]]
@@ -51,12 +54,16 @@ def with_texts(
     """Add the text of each hit. Texts are read only here, not while scoring.
 
     The hits are computed once. Few hits are broadcast, and the texts are
-    neither shuffled nor sorted; many are joined with often-hit documents
-    spread over several tasks.
+    neither shuffled nor sorted; the keys of very few are also given to the
+    scan, which then skips the row groups and buckets without them. Many hits
+    are joined with often-hit documents spread over several tasks.
     """
     hits = cut_lineage(hits)
     texts = documents.select(doc_key, text)
     if fits_broadcast(hits):
+        names = hits.select(doc_key).distinct().limit(MAX_SCAN_KEYS + 1).collect()
+        if len(names) <= MAX_SCAN_KEYS:
+            texts = texts.filter(F.col(doc_key).isin([row[0] for row in names]))
         return texts.join(F.broadcast(hits), doc_key)
     spread = [c for c in hits.columns if c != doc_key]
     return spread_join(hits, texts, doc_key, spread, how="inner")

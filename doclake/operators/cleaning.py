@@ -44,6 +44,25 @@ def filter_min_length(df: DataFrame, column: str = "text_length", chars: int = M
     return df.filter(F.col(column) > chars)
 
 
+def clean_long_texts(
+    df: DataFrame,
+    source: str = "text_content",
+    target: str = "text_clean",
+    chars: int = MIN_CLEAN_CHARS,
+) -> DataFrame:
+    """``with_clean_text`` and ``filter_min_length`` in one step.
+
+    A filter on the length would be moved below the cleaning with a copy of
+    it, and each text cleaned twice. Exploding the list of the one text, empty
+    if it is too short, cleans it once.
+    """
+    long_enough = F.filter(
+        F.array(lower_trim(clean_text(source))), lambda t: F.length(t) > chars
+    )
+    kept = df.select("*", F.explode(long_enough).alias(target))
+    return kept.withColumn("text_length", F.length(target))
+
+
 def filter_not_null(df: DataFrame, *columns: str) -> DataFrame:
     """Keep rows where all the columns have a value; an empty string is a value."""
     return df.dropna(how="any", subset=list(columns))

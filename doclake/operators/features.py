@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, Tokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from doclake.constants import EMBEDDING_DIMS, TF_BUCKETS
@@ -20,11 +20,20 @@ def tokenize(df: DataFrame, text: str = "text_clean", target: str = "words") ->
 
 
 def hashing_tf(
-    df: DataFrame, text: str = "text_clean", target: str = "raw_features", buckets: int = TF_BUCKETS
+    df: DataFrame,
+    text: str = "text_clean",
+    target: str = "raw_features",
+    buckets: int = TF_BUCKETS,
+    words: str | None = None,
 ) -> DataFrame:
-    """Term counts in a fixed number of hash buckets; no shuffle."""
-    counted = HashingTF(inputCol="_words", outputCol=target, numFeatures=buckets)
-    return counted.transform(tokenize(df, text, "_words")).drop("_words")
+    """Term counts in a fixed number of hash buckets; no shuffle.
+
+    ``words`` names a token column that is already there.
+    """
+    counter = HashingTF(inputCol=words or "_words", outputCol=target, numFeatures=buckets)
+    if words:
+        return counter.transform(df)
+    return counter.transform(tokenize(df, text, "_words")).drop("_words")
 
 
 def tf_idf(
@@ -32,14 +41,16 @@ def tf_idf(
     text: str = "text_clean",
     target: str = "tfidf_features",
     buckets: int = TF_BUCKETS,
+    words: str | None = None,
 ) -> DataFrame:
     """Hashed term counts weighted by ``ln((N + 1) / (df + 1))``.
 
     Fitting reads only the text column and merges one count per bucket, so
     the model is ``buckets`` numbers however large the corpus is.
     """
-    model = IDF(inputCol="_tf", outputCol=target).fit(hashing_tf(df.select(text), text, "_tf", buckets))
-    return model.transform(hashing_tf(df, text, "_tf", buckets)).drop("_tf")
+    counts = hashing_tf(df.select(words or text), text, "_tf", buckets, words)
+    model = IDF(inputCol="_tf", outputCol=target).fit(counts)
+    return model.transform(hashing_tf(df, text, "_tf", buckets, words)).drop("_tf")
 
 
 def bucket_rows(df: DataFrame, key: str, vector: str, value: str = "weight") -> DataFrame:
@@ -53,11 +64,19 @@ def bucket_rows(df: DataFrame, key: str, vector: str, value: str = "weight") ->
     return df.select(key, F.inline(entries))
 
 
+def _tokens(text: str) -> Column:
+    """The tokens of ``tokenize`` for a clean text, as an expression.
+
+    Exploded directly, it is evaluated once; a token column would be computed
+    again for the filter that Spark infers below an explode.
+    """
+    return F.split(F.lower(F.col(text)), r"\s")
+
+
 def term_counts(df: DataFrame, key: str, text: str = "text_clean") -> DataFrame:
     """``key, term, tf``: occurrences of each token in each document."""
     return (
-        tokenize(df.select(key, text), text, "_words")
-        .select(key, F.explode("_words").alias("term"))
+        df.select(key, F.explode(_tokens(text)).alias("term"))
         .groupBy(key, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -66,8 +85,7 @@ def term_counts(df: DataFrame, key: str, text: str = "text_clean") -> DataFrame:
 def doc_frequency(df: DataFrame, text: str = "text_clean") -> DataFrame:
     """``term, df``: documents each token occurs in. Counted before the shuffle."""
     return (
-        tokenize(df.select(text), text, "_words")
-        .select(F.explode(F.array_distinct("_words")).alias("term"))
+        df.select(F.explode(F.array_distinct(_tokens(text))).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )
@@ -100,6 +118,7 @@ def embed_documents(
     model: BatchModel | None = None,
     dims: int = EMBEDDING_DIMS,
     max_chars: int | None = None,
+    words: str | None = None,
 ) -> DataFrame:
     """Add a unit-length ``array<float>`` for each text.
 
@@ -111,7 +130,7 @@ def embed_documents(
         if max_chars:
             df = df.withColumn("_text", F.substring(text, 1, max_chars))
             return embed_documents(df, "_text", target, dims=dims).drop("_text")
-        counted = hashing_tf(df, text, "_tf", dims)
+        counted = hashing_tf(df, text, "_tf", dims, words)
         unit = Normalizer(inputCol="_tf", outputCol="_unit", p=2.0).transform(counted)
         return unit.withColumn(target, vector_to_array("_unit", "float32")).drop("_tf", "_unit")
     source = F.col(text) if max_chars is None else F.substring(text, 1, max_chars)

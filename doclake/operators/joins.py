@@ -18,11 +18,15 @@ HOT_SHARE = 0.001
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
-    """Whether ``df``, counted and weighed, is small enough to send to every task."""
-    rows, size = df.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
-    ).first()
-    return rows <= max_rows and size <= max_bytes
+    """Whether ``df`` is small enough to send to every task.
+
+    Rows are counted first, no further than the bound; only a table within it
+    is weighed.
+    """
+    if df.limit(max_rows + 1).count() > max_rows:
+        return False
+    weight = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    return (df.agg(weight).first()[0] or 0) <= max_bytes
 
 
 def lookup_join(

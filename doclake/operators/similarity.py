@@ -68,9 +68,7 @@ class _Best:
 
 
 def _vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
-    return df.select(key, F.col(vector).cast("array<double>").alias(vector)).filter(
-        F.col(vector).isNotNull()
-    )
+    return df.select(key, vector).filter(F.col(vector).isNotNull())
 
 
 def _question_matrix(questions: DataFrame, key: str, vector: str):

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from doclake.constants import DOCUMENT_SUFFIXES
 from doclake.functions.messages import now_or, whole_seconds
 from doclake.functions.topics import DEFAULT_LEXICON, classify_topic, summarise
-from doclake.operators.cleaning import filter_min_length, with_clean_text
+from doclake.operators.cleaning import clean_long_texts
 from doclake.operators.extract import Parser, extract_documents
-from doclake.operators.features import embed_documents, tf_idf
+from doclake.operators.features import embed_documents, tf_idf, tokenize
 from doclake.operators.models import BatchModel, label_model, text_model
 from doclake.operators.quality import check_models
 from doclake.operators.tables import KeyedTable, bucket_count, table_mart, write_table
@@ -48,9 +48,10 @@ def silver(
     max_chars: int | None = None,
 ) -> DataFrame:
     """Clean text with its length, TF-IDF and embedding; too short texts are left out."""
-    cleaned = filter_min_length(with_clean_text(raw)).drop("text_content")
-    embedded = embed_documents(tf_idf(cleaned), model=model, max_chars=max_chars)
-    return embedded.withColumn("processed_at", now_or(now))
+    cleaned = clean_long_texts(raw).drop("text_content")
+    weighted = tf_idf(tokenize(cleaned, target="_words"), words="_words")
+    embedded = embed_documents(weighted, model=model, max_chars=max_chars, words="_words")
+    return embedded.drop("_words").withColumn("processed_at", now_or(now))
 
 
 def gold(

@@ -21,6 +21,7 @@ def build_session(app_name: str = "doclake", master: str | None = None, **conf)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update({key.replace("__", "."): str(value) for key, value in conf.items()})
     for key, value in settings.items():

@@ -13,14 +13,14 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread_small(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the input has fewer splits than there are cores.
+    """Rows over all cores when the input would keep at most half of them busy.
 
     A small table is often one file with one row group, which one task would
-    work through alone. A large table has more splits than cores and is
-    returned as it is, without a shuffle.
+    work through alone. A table with more splits is returned as it is, without
+    a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
 def scan_csv(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of
 from doclake.functions import text as txt
-from doclake.operators.cleaning import filter_min_length, typed_clean, with_clean_text
+from doclake.operators.cleaning import clean_long_texts, filter_min_length, typed_clean, with_clean_text
 
 
 def defined_clean(text):
@@ -65,6 +65,14 @@ def test_min_length_is_strict(spark):
     assert [r["text_length"] for r in filter_min_length(with_clean_text(df)).collect()] == [51]
 
 
+def test_long_texts_are_cleaned_once(spark):
+    df = spark.createDataFrame([("%" + "a" * 50,), ("B" * 51,), (None,)], "text_content string")
+    two_steps = filter_min_length(with_clean_text(df))
+    one_step = clean_long_texts(df)
+    assert one_step.collect() == two_steps.collect()
+    assert plan_of(one_step).count("regexp_replace") == 2
+
+
 def test_strip_and_collapse(values):
     assert values(txt.strip, ["\n a  b\x85 ", None]) == ["a  b", None]
     assert values(txt.collapse_space, [" a\t\n　b "]) == ["a b"]
