@@ -12,6 +12,7 @@ from doclake.constants import PREFIX_CHARS, WHITE_SPACE
 # Everything a cleaned text may not hold: all but letters, numbers, the
 # underscore, . , ; : ! ? - and the blank. ASCII comes first, it is tested most.
 _NOT_KEPT = r"[^a-zA-Z0-9 \p{L}\p{N}_.,;:!?\-]+"
+_KEPT = r"[a-zA-Z0-9 \p{L}\p{N}_.,;:!?\-]+"
 _NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -86,11 +87,18 @@ def keyword_context(
     return F.when(at >= 0, window)
 
 
-def characters(text: Column | str) -> Column:
-    """Distinct characters, in order of first use."""
-    return F.array_distinct(F.regexp_extract_all(col_of(text), F.lit("(?s)."), F.lit(0)))
-
-
 def removed_characters(raw: Column | str, cleaned: Column | str) -> Column:
-    """Sorted characters that occur in ``raw`` and nowhere in ``cleaned``."""
-    return F.sort_array(F.array_except(characters(raw), characters(cleaned)))
+    """Sorted characters of ``raw`` that its ``clean_text`` no longer holds.
+
+    Only a character that is never kept, or one of ``32;`` and the blank, can
+    be lost, so the text is reduced to those before it is taken apart.
+    """
+    raw, cleaned = col_of(raw), col_of(cleaned)
+    unkept = F.regexp_replace(raw, _KEPT, "")
+    candidates = F.concat(
+        F.array_distinct(F.regexp_extract_all(unkept, F.lit("(?s)."), F.lit(0))),
+        F.filter(
+            F.array(*[F.lit(c) for c in "32; "]), lambda c: F.contains(raw, c)
+        ),
+    )
+    return F.sort_array(F.filter(candidates, lambda c: ~F.contains(cleaned, c)))

@@ -69,11 +69,7 @@ def _repeated(ordered: Column) -> Column:
 
 
 def _scores_by_lookup(terms: Column, shared: Column) -> Column:
-    return F.zip_with(
-        terms,
-        F.array_repeat(shared, F.size(terms)),
-        lambda own, others: F.size(F.array_intersect(own, others)),
-    )
+    return F.transform(terms, lambda own: F.size(F.array_intersect(own, shared)))
 
 
 def _neighbours(items: Column) -> Column:

@@ -22,7 +22,9 @@ from doclake.constants import DEFAULT_TOP_K
 
 # Numbers a question matrix may hold to be sent with the task (64 MB).
 MAX_QUESTION_NUMBERS = 8_000_000
-TILE_ROWS = 8192
+TILE_ROWS = 4096
+# Scores a task holds at one time (32 MB).
+MAX_SCORES = 4_000_000
 SCORE_DIGITS = 6
 
 
@@ -46,19 +48,26 @@ def _cosines(documents: np.ndarray, questions: np.ndarray) -> np.ndarray:
 class _Best:
     """The best ``k`` documents per question seen by one task."""
 
-    def __init__(self, questions: int, k: int):
+    def __init__(self, questions: np.ndarray, k: int):
+        self.questions = questions
         self.k = k
-        self.kept: list[list[tuple]] = [[] for _ in range(questions)]
-
-    def add(self, keys: list, scores: np.ndarray) -> None:
-        for number, kept in enumerate(self.kept):
-            column = scores[:, number]
-            floor = -np.inf
-            if len(column) > self.k:
-                floor = np.partition(column, len(column) - self.k)[len(column) - self.k]
-            if len(kept) == self.k:
-                floor = max(floor, -kept[-1][0])
-            found = [(-column[i], keys[i]) for i in np.flatnonzero(column >= floor)]
+        self.kept: list[list[tuple]] = [[] for _ in range(len(questions))]
+
+    def add(self, keys: list, documents: np.ndarray) -> None:
+        step = max(1, MAX_SCORES // max(1, len(keys)))
+        for start in range(0, len(self.questions), step):
+            scores = _cosines(documents, self.questions[start : start + step])
+            for number in range(scores.shape[1]):
+                self._merge(start + number, keys, scores[:, number])
+
+    def _merge(self, number: int, keys: list, scores: np.ndarray) -> None:
+        kept, floor = self.kept[number], -np.inf
+        if len(scores) > self.k:
+            floor = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
+        if len(kept) == self.k:
+            floor = max(floor, -kept[-1][0])
+        found = [(-scores[i], keys[i]) for i in np.flatnonzero(scores >= floor)]
+        if found:
             self.kept[number] = heapq.nsmallest(self.k, kept + found)
 
     def rows(self, question_keys: list) -> Iterator[tuple]:
@@ -129,19 +138,18 @@ def _local_best(documents, questions, doc_key, question_key, vector, k) -> DataF
     question_keys, matrix = small
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(len(question_keys), k) if k else None
+        best = _Best(matrix, k) if k else None
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            scores = _cosines(_matrix(batch.column(1), matrix.shape[1]), matrix)
+            vectors = _matrix(batch.column(1), matrix.shape[1])
             if best:
-                best.add(keys, scores)
+                best.add(batch.column(0).to_pylist(), vectors)
                 continue
             for number, question in enumerate(question_keys):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.repeat(pa.scalar(question, schema.field(0).type), len(keys)),
+                        pa.repeat(pa.scalar(question, schema.field(0).type), len(vectors)),
                         batch.column(0).cast(schema.field(1).type),
-                        pa.array(scores[:, number]),
+                        pa.array(_cosines(vectors, matrix[number : number + 1])[:, 0]),
                     ],
                     schema=schema,
                 )
@@ -174,12 +182,13 @@ def _tiled(documents, questions, doc_key, question_key, vector, k, result) -> Da
             theirs = asked.column(vector).combine_chunks()
             matrix = _matrix(theirs, len(theirs[0]))
             keys = docs.column(doc_key).to_pylist()
-            scores = _cosines(_matrix(docs.column(vector).combine_chunks(), matrix.shape[1]), matrix)
+            vectors = _matrix(docs.column(vector).combine_chunks(), matrix.shape[1])
             if k:
-                best = _Best(len(names), k)
-                best.add(keys, scores)
+                best = _Best(matrix, k)
+                best.add(keys, vectors)
                 rows = best.rows(names)
             else:
+                scores = _cosines(vectors, matrix)
                 rows = (
                     (names[q], keys[d], float(scores[d, q]))
                     for q in range(len(names))
@@ -244,12 +253,14 @@ def classify_by_prototype(
     schema = _arrow_schema(result)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = _cosines(_matrix(batch.column(1), matrix.shape[1]), matrix)
-            place = scores.argmax(axis=1) if len(names) else np.zeros(0, int)
+        step = max(1, MAX_SCORES // max(1, len(names)))
+        slices = (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step))
+        for part in slices if names else ():
+            scores = _cosines(_matrix(part.column(1), matrix.shape[1]), matrix)
+            place = scores.argmax(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).cast(schema.field(0).type),
+                    part.column(0).cast(schema.field(0).type),
                     pa.array([names[p] for p in place], schema.field(1).type),
                     pa.array(scores[np.arange(len(place)), place], pa.float64()),
                 ],
