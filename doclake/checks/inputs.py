@@ -27,13 +27,14 @@ LEXICON = {
 QUALITY = ("low", "high")
 
 
-TEXTS = ("documents", "pages", "conversations")
+# Tables with texts to work on, and what tells their rows apart.
+TEXTS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; the ones with texts to work on use all cores."""
     df = scan_parquet(spark, f"{sf_dir}/{name}.parquet")
-    return spread_small(df) if name in TEXTS else df
+    return spread_small(df, *TEXTS[name]) if name in TEXTS else df
 
 
 def fixed_time(text: str = "2025-03-01 12:00:00") -> Column:

@@ -13,7 +13,7 @@ from doclake.constants import PREFIX_CHARS, WHITE_SPACE
 # underscore, . , ; : ! ? - and the blank. ASCII comes first, it is tested most.
 _NOT_KEPT = r"[^a-zA-Z0-9 \p{L}\p{N}_.,;:!?\-]+"
 _KEPT = r"[a-zA-Z0-9 \p{L}\p{N}_.,;:!?\-]+"
-_NOT_WORD = r"[^\p{L}\p{N}]+"
+_WORD = r"[\p{L}\p{N}]+"
 
 
 def col_of(value: Column | str) -> Column:
@@ -67,7 +67,7 @@ def truncate_text(text: Column | str, purpose: str) -> Column:
 
 def words(text: Column | str) -> Column:
     """Lower-case runs of letters and digits, in order."""
-    return F.array_remove(F.split(F.lower(col_of(text)), _NOT_WORD), "")
+    return F.regexp_extract_all(F.lower(col_of(text)), F.lit(_WORD), F.lit(0))
 
 
 def keyword_position(text: Column | str, phrases: Sequence[str]) -> Column:

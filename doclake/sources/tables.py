@@ -12,15 +12,18 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
+def spread_small(df: DataFrame, *key: str) -> DataFrame:
     """Rows over all cores when the input would keep at most half of them busy.
 
+    ``key`` tells rows apart; without it Spark deals the rows out in turn, for
+    which it has to sort them first.
+
     A small table is often one file with one row group, which one task would
     work through alone. A table with more splits is returned as it is, without
     a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
 def scan_csv(
