@@ -5,17 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from doclake.llm.common import documents
+from doclake.llm import fertility, language, quality
+from doclake.llm.common import crc_mod, documents
 from doclake.llm.packing import pack, token_pieces
 
 
+def op2_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language.fit(docs.filter(crc_mod("doc_id", 4) != 2))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op7_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    return fertility.quality_rules(docs).drop("lang")
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
+    """Learned from the labels that are not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(crc_mod("doc_id", 5) != 0)
+    return quality.fit(documents(spark, sf_dir), labels)
+
+
+def op8_naive_bayes_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(documents(spark, sf_dir).select("doc_id", "text"), quality_model(spark, sf_dir))
+    return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(documents(spark, sf_dir).select("doc_id", "text")))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_language_spans": op2_language_spans,
+        "op7_tokeniser_fertility": op7_tokeniser_fertility,
+        "op8_naive_bayes_svm": op8_naive_bayes_svm,
         "op9_best_fit_packing": op9_best_fit_packing,
     }
 
