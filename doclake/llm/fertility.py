@@ -25,15 +25,14 @@ from doclake.session import cut_lineage
 VOCABULARY = "piece_bpe_32k.model"
 CACHED_WORDS = 250_000
 BAND = 6.0  # widths of the middle half on either side of the median
-LEAST_WIDTH = {"chars_per_token": 0.10, "byte_share": 0.01, "entropy_share": 0.03}
-LEAST_TOKENS = 50  # figures of shorter texts say little; no band rejects them
+LEAST_WIDTH = {"chars_per_token": 0.08, "byte_share": 0.01, "entropy_share": 0.03}
+LEAST_TOKENS = 200  # figures of shorter texts say little; no band rejects them
 LEAST_TEXTS = 20  # a language or script with fewer has no bands
 METRICS = tuple(LEAST_WIDTH)
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 # The words of the base rules, and symbols.
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_SYMBOLS = frozenset("#*$%&|<>")
 _NOT_SYMBOL = re.compile(r"[^#*$%&|<>]+")
 WINDOW = 5
 LEAST_WORDS = 10

@@ -8,8 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclake.llm import fertility, language, quality
+from doclake.llm.bpe import encode_decode
 from doclake.llm.common import crc_mod, documents
 from doclake.llm.packing import pack, token_pieces
+from doclake.llm.topk import top_k
+
+
+TOP_K_SQL = """
+WITH clean AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(max(list_inner_product(q.v, c.v)) AS BIGINT) AS score
+    FROM clean q JOIN clean c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+    WHERE q.vec_id % 50 = 0
+    GROUP BY ALL
+)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score
+FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 5
+"""
 
 
 def op2_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +40,10 @@ def op2_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op4_word_table_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(documents(spark, sf_dir))
+
+
 def op7_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     return fertility.quality_rules(docs).drop("lang")
@@ -39,14 +64,21 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(documents(spark, sf_dir).select("doc_id", "text")))
 
 
+def op10_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_language_spans": op2_language_spans,
+        "op4_word_table_bpe": op4_word_table_bpe,
         "op7_tokeniser_fertility": op7_tokeniser_fertility,
         "op8_naive_bayes_svm": op8_naive_bayes_svm,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_threshold_top_k": op10_threshold_top_k,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_threshold_top_k": TOP_K_SQL}
