@@ -56,7 +56,7 @@ def base_spans(text: Column) -> Column:
     )
     card = F.filter(
         spans.find_if(has_digit, text, CARD, "card", 2),
-        lambda s: F.luhn_check(digits(s["value"])),
+        lambda s: F.call_function("luhn_check", digits(s["value"])),
     )
     phone = F.filter(
         spans.find_if(F.contains(text, F.lit("+")), text, PHONE, "phone", 3),
@@ -149,20 +149,20 @@ def find_personal_data(
     # few documents hold such a word: only they go on, by word first and then by document
     holds = near_keys(each, "term", terms, "term").distinct().join(terms, "term")
     holds = cut_lineage(
-        holds.groupBy("_key", "_hash").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("_terms"))
+        holds.groupBy("_key", F.col("_hash").alias("_own")).agg(
+            F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("_terms")
+        )
     )
-    concerned = near_keys(rows.select(key, text, "_hash"), "_hash", holds, "_hash")
+    concerned = near_keys(rows.select(key, text, "_hash"), "_hash", holds, "_own").distinct()
     words = spans.find(F.col(text), r"[^\x20\x09-\x0D]+", "term", 4)
     placed = (
-        concerned.distinct()
-        .join(holds, F.col(key).eqNullSafe(F.col("_key")) & (concerned["_hash"] == holds["_hash"]))
-        .select("_key", holds["_hash"].alias("_own"), "_terms", words.alias("_words"))
+        concerned.join(holds, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_own")))
+        .select("_key", "_own", "_terms", words.alias("_words"))
         .select(
             "_key",
             "_own",
             F.transform(
-                F.filter("_words", lambda w: F.map_contains_key("_terms", term(w["value"]))),
-                lambda w: _trimmed(w),
+                F.filter("_words", lambda w: F.map_contains_key("_terms", term(w["value"]))), _trimmed
             ).alias("_found"),
         )
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doclake.llm import fertility, language, quality
+from doclake.llm import fertility, language, pii, quality, secret_scan, spans
 from doclake.llm.bpe import encode_decode
 from doclake.llm.common import crc_mod, documents
 from doclake.llm.packing import pack, token_pieces
@@ -33,6 +33,16 @@ QUALIFY rank <= 5
 """
 
 
+def op1_information_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[spans.count(F.col("pii_base"), kind).alias(f"n_{kind}") for kind in pii.KINDS[:4]],
+        F.sha2(spans.listed(F.col("pii_base")), 256).alias("base_sha256"),
+        spans.listed(F.col("pii_spans")).alias("spans"),
+    )
+
+
 def op2_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = language.fit(docs.filter(crc_mod("doc_id", 4) != 2))
@@ -40,6 +50,17 @@ def op2_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op3_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = secret_scan.find_secrets(docs, secret_scan.fit(docs))
+    return found.select(
+        "doc_id",
+        *[spans.count(F.col("secret_base"), kind).alias(f"n_{kind}") for kind in secret_scan.KINDS[:3]],
+        F.sha2(spans.listed(F.col("secret_base")), 256).alias("base_sha256"),
+        spans.listed(F.col("secret_spans")).alias("spans"),
+    )
+
+
 def op4_word_table_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(documents(spark, sf_dir))
 
@@ -71,7 +92,9 @@ def op10_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_information_pii": op1_information_pii,
         "op2_language_spans": op2_language_spans,
+        "op3_markov_secrets": op3_markov_secrets,
         "op4_word_table_bpe": op4_word_table_bpe,
         "op7_tokeniser_fertility": op7_tokeniser_fertility,
         "op8_naive_bayes_svm": op8_naive_bayes_svm,
