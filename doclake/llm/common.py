@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doclake.session import cut_lineage
+from doclake.session import cut_lineage, scratch_path
 
 SLICE_ROWS = 512
 SLICE_CHARS = 4_000_000
@@ -124,18 +124,26 @@ def crc_mod(column: str, divisor: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
-def near_keys(df: DataFrame, column: str | Column, keys: DataFrame, key: str | Column) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, which outlives executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def near_keys(
+    df: DataFrame, column: str | Column, keys: DataFrame, key: str | Column, how: str = "left_semi"
+) -> DataFrame:
     """Rows of ``df`` whose key may be among ``keys``, found without a shuffle of ``df``.
 
     Keys are hashed to ``KEY_BUCKETS`` numbers and only the numbers in use are
     broadcast, so what is sent never exceeds that many rows, whatever the data.
-    Some rows too many come through; an exact join has to follow.
+    Some rows too many come through; an exact join has to follow. ``left_anti``
+    gives the other rows, none of which has a key in ``keys``.
     """
     number = lambda c: F.pmod(F.xxhash64(c), F.lit(KEY_BUCKETS)).cast("int")
     used = keys.select(number(key).alias("_bucket")).distinct()
-    return df.withColumn("_bucket", number(column)).join(
-        F.broadcast(used), "_bucket", "left_semi"
-    ).drop("_bucket")
+    return df.withColumn("_bucket", number(column)).join(F.broadcast(used), "_bucket", how).drop("_bucket")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:

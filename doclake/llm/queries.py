@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from doclake.llm import fertility, language, pii, quality, secret_scan, spans
 from doclake.llm.bpe import encode_decode
 from doclake.llm.common import crc_mod, documents
+from doclake.llm.ngram_join import link_groups
 from doclake.llm.packing import pack, token_pieces
+from doclake.llm.passages import remove_repeated_passages
 from doclake.llm.topk import top_k
 
 
@@ -65,6 +67,14 @@ def op4_word_table_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(documents(spark, sf_dir))
 
 
+def op5_size_aware_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_groups(documents(spark, sf_dir))
+
+
+def op6_paragraph_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_passages(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op7_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     return fertility.quality_rules(docs).drop("lang")
@@ -96,6 +106,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language_spans": op2_language_spans,
         "op3_markov_secrets": op3_markov_secrets,
         "op4_word_table_bpe": op4_word_table_bpe,
+        "op5_size_aware_join": op5_size_aware_join,
+        "op6_paragraph_bands": op6_paragraph_bands,
         "op7_tokeniser_fertility": op7_tokeniser_fertility,
         "op8_naive_bayes_svm": op8_naive_bayes_svm,
         "op9_best_fit_packing": op9_best_fit_packing,
