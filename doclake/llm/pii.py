@@ -146,36 +146,32 @@ def find_personal_data(
     each = rows.select(F.col(key).alias("_key"), "_hash", F.explode(F.split(F.col(text), SPACE)).alias("_word")).select(
         "_key", "_hash", term(F.col("_word")).alias("term")
     )
-    # few documents hold such a word: only they go on, by word first and then by document
+    # few texts hold such a word: only they are shuffled
     holds = near_keys(each, "term", terms, "term").distinct().join(terms, "term")
     holds = cut_lineage(
         holds.groupBy("_key", F.col("_hash").alias("_own")).agg(
             F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("_terms")
         )
     )
-    concerned = near_keys(rows.select(key, text, "_hash"), "_hash", holds, "_own").distinct()
-    words = spans.find(F.col(text), r"[^\x20\x09-\x0D]+", "term", 4)
-    placed = (
-        concerned.join(holds, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_own")))
-        .select("_key", "_own", "_terms", words.alias("_words"))
-        .select(
-            "_key",
-            "_own",
-            F.transform(
-                F.filter("_words", lambda w: F.map_contains_key("_terms", term(w["value"]))), _trimmed
-            ).alias("_found"),
-        )
-    )
-    joined = based.join(
-        placed, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_own")), "left"
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_own"))
+    concerned = near_keys(based, "_hash", holds, "_own").join(holds, same, "left").drop("_key", "_own")
+    words = F.filter(
+        spans.find(F.col(text), r"[^\x20\x09-\x0D]+", "term", 4),
+        lambda w: F.map_contains_key("_terms", term(w["value"])),
     )
     free = F.filter(
-        F.coalesce("_found", spans.no_spans()),
+        F.transform(words, _trimmed),
         lambda w: ~F.exists("_base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])),
     )
-    return joined.withColumn("pii_spans", F.array_sort(F.concat(F.col("_base"), free))).withColumnRenamed(
-        "_base", "pii_base"
-    ).drop("_hash", "_key", "_own", "_found")
+    added = F.when(F.col("_terms").isNotNull(), F.concat("_base", free)).otherwise(F.col("_base"))
+    others = near_keys(based, "_hash", holds, "_own", "left_anti").withColumn("pii_spans", F.col("_base"))
+    return (
+        concerned.withColumn("pii_spans", F.array_sort(added))
+        .drop("_terms")
+        .unionByName(others)
+        .withColumnRenamed("_base", "pii_base")
+        .drop("_hash")
+    )
 
 
 def _trimmed(w: Column) -> Column:
