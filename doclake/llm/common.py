@@ -63,6 +63,17 @@ def list_array(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=kind))
 
 
+def factorize(words: list) -> tuple[np.ndarray, list]:
+    """The number of each word among the distinct ones, and those in order of first use.
+
+    (pandas compares strings up to a zero character only.)
+    """
+    table = dict.fromkeys(words)
+    for i, word in enumerate(table):
+        table[word] = i
+    return np.fromiter(map(table.__getitem__, words), dtype=np.int64, count=len(words)), list(table)
+
+
 def hash_words(words: list) -> np.ndarray:
     """64-bit hashes, the same in every process."""
     if not words:

@@ -14,12 +14,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doclake.llm.common import hash_words, slices, tokenizer_path
+from doclake.llm.common import factorize, hash_words, slices, tokenizer_path
 from doclake.session import cut_lineage
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -129,8 +128,7 @@ def measure(df: DataFrame, text: str = "text", vocabulary: str | None = None) ->
         for batch in slices(batches, "_text"):
             texts = batch["_text"].to_pylist()
             words = [_WORD.findall(t) if t else [] for t in texts]
-            code, distinct = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
-            distinct = list(distinct)
+            code, distinct = factorize([w for ws in words for w in ws])
             hashes = hash_words(distinct)[code] if distinct else np.empty(0, dtype=np.uint64)
             pieces.learn(distinct)
             ids = [pieces[w] for w in distinct]

@@ -11,12 +11,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doclake.llm.common import mix, slices
+from doclake.llm.common import factorize, mix, slices
 
 UNKNOWN = "und"
 BITS = 16
@@ -251,10 +250,10 @@ def identify(
         for batch in slices(batches, text, SLICE_ROWS, SLICE_BYTES):
             words = [t.split() if t else [] for t in batch[text].to_pylist()]
             sizes = np.array([len(w) for w in words], dtype=np.int64)
-            code, distinct = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
+            code, distinct = factorize([w for ws in words for w in ws])
             names, score, runs = [UNKNOWN] * len(words), np.zeros(len(words)), [[] for _ in words]
             if k and len(code):
-                per_word, count = m.word_scores(list(distinct))
+                per_word, count = m.word_scores(distinct)
                 has = np.nonzero(sizes)[0]
                 starts = (np.cumsum(sizes) - sizes)[has]
                 label = viterbi(per_word[code], starts, penalty)
