@@ -11,6 +11,7 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,21 +25,49 @@ from doclake.session import cut_lineage
 CAPACITY = 4096
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
+CACHED_PARTS = 600_000
 PIECE_COLUMNS = "piece int, start long, length long, ids_crc32 long"
 
-# Pre-tokens of the vocabulary's own pattern, for words of printable ASCII.
-_ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_PRINTABLE = re.compile(rb"[!-~]+")
+# Pre-tokens of the vocabulary's own pattern, for words of printable ASCII and
+# the letters of Latin-1: those are in normal form and have one lower case each.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_STOPS = frozenset(".,")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary.
+
+    Printable bytes stand for themselves, the others for the letters from 256 on.
+    """
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class PartIds(dict):
+    """Ids of a lower-case pre-token as unsigned 32-bit numbers, emptied at ``CACHED_PARTS``."""
+
+    def __init__(self, model):
+        self.model = model
+        self.letters = byte_letters()
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= CACHED_PARTS:
+            self.clear()
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        value = self[part] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return value
 
 
 class WordIds(dict):
-    """Ids of a word between white space, as little-endian unsigned 32-bit numbers.
+    """Ids of a word between white space, as unsigned 32-bit numbers (little-endian, as all machines that run Spark).
 
     The vocabulary drops white space before it splits, so a text's ids are
-    those of its words in turn. Words of printable ASCII go straight to the merge
-    model, others through the whole tokenizer. The table is emptied at
-    ``CACHED_WORDS`` words, so its memory is bounded.
+    those of its words in turn. Plain words go to the merge model part by part,
+    others through the whole tokenizer. The table is emptied at ``CACHED_WORDS``
+    words, so its memory is bounded.
     """
 
     def __init__(self, path: str):
@@ -48,25 +77,23 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.parts: dict[str, list[int]] = {}
+        self.parts = PartIds(self.tokenizer.model)
+        names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, names)) or "(?!)")
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
-            self.parts.clear()
-        if _PRINTABLE.fullmatch(word) and not any(s in word for s in self.special):
-            ids: list[int] = []
-            for part in _ASCII_PARTS.findall(word.decode().lower()):
-                found = self.parts.get(part)
-                if found is None:
-                    found = self.parts[part] = [t.id for t in self.model.tokenize(part)]
-                ids += found
+        text = word.decode("utf-8", "replace")
+        if text.isalpha() and text.isascii():
+            value = self.parts[text.lower()]
+        elif text[-1] in _STOPS and text[:-1].isalpha() and text.isascii():
+            value = self.parts[text[:-1].lower()] + self.parts[text[-1]]
+        elif _PLAIN.fullmatch(text) and not self.special.search(text):
+            value = b"".join([self.parts[part] for part in _PARTS.findall(text.lower())])
         else:
-            text = word.decode("utf-8", "replace")
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        value = np.array(ids, dtype="<u4").tobytes()
+            value = array("I", ids).tobytes()
         self[word] = value
         return value
 
