@@ -13,7 +13,7 @@ from doclake.operators.tables import KeyedTable
 from doclake.plans.layers import GOLD_SCHEMA, Lake, gold
 from doclake.plans.marts import stg_normalise
 from doclake.session import scratch_path
-from doclake.sources import scan_parquet, spread_small
+from doclake.sources import scan_parquet
 
 # The topic labels with words that are frequent in the given texts.
 LEXICON = {
@@ -27,14 +27,8 @@ LEXICON = {
 QUALITY = ("low", "high")
 
 
-# Tables with texts to work on, and what tells their rows apart.
-TEXTS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; the ones with texts to work on use all cores."""
-    df = scan_parquet(spark, f"{sf_dir}/{name}.parquet")
-    return spread_small(df, *TEXTS[name]) if name in TEXTS else df
+    return scan_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def fixed_time(text: str = "2025-03-01 12:00:00") -> Column:

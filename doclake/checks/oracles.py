@@ -381,6 +381,14 @@ def oracle_sql() -> dict[str, str]:
         "typed_clean": f"SELECT o_orderkey, o_orderstatus, o_orderpriority, {_text('o_orderdate')} "
         "AS o_orderdate FROM orders",
         "mart_by_topic": with_stats,
+        "mart_rows": with_stats,
+        "keyed_runs": "SELECT concat(source, '/', doc_id) AS file_name, lang, CASE WHEN doc_id % 5 = 0 "
+        "THEN 4 WHEN doc_id % 7 = 0 THEN 3 WHEN doc_id % 3 <> 1 THEN 2 ELSE 1 END AS step FROM documents",
+        "train_topic_model": "SELECT CASE WHEN ('0x' || md5('42:' || doc_id)[:8])::BIGINT % 100 < 20 "
+        "THEN 'test' ELSE 'train' END AS side, CASE WHEN quality = 1 THEN 'high' ELSE 'low' END AS topic, "
+        "count(*) AS docs, true AS at_least_majority FROM documents JOIN labels USING (doc_id) GROUP BY ALL",
+        "save_model": "SELECT doc_id, CASE WHEN quality = 1 THEN 'high' ELSE 'low' END AS topic, "
+        "true AS same FROM documents JOIN labels USING (doc_id)",
         "score_cross": f"WITH {_means('-1')}, {_mean_scores('')} SELECT vec_id, score FROM mean_scores",
         "training_set": f"WITH {_CLEAN} SELECT doc_id, text_clean, CASE WHEN quality = 1 THEN 'high' "
         "ELSE 'low' END AS topic FROM clean JOIN labels USING (doc_id)",
@@ -472,15 +480,18 @@ def oracle_sql() -> dict[str, str]:
         "FROM conversations",
         "extract_documents": f"WITH {_EXTRACTED} SELECT * FROM extracted",
         "extract_pages": f"SELECT url AS file_name, {_TITLE} AS title, {_LANG} AS language, "
-        f"length({_html_text('html')}) AS chars FROM pages",
+        f"{_html_text('html')} AS text_content FROM pages",
+        "extract_latin1": f"SELECT concat(doc_id, '.txt') AS file_name, {_strip('text')} AS text_content "
+        "FROM documents",
         "retrieve": f"WITH {_HITS} SELECT question_id, file_name, score, rank::INTEGER AS rank FROM hits",
         "build_prompt": f"WITH {_PROMPTS} SELECT question_id, prompt FROM prompts",
-        "generate_answers": f"WITH {_HITS} SELECT question_id, file_name AS answer FROM hits WHERE rank = 1",
+        "generate_answers": f"WITH {_HITS} SELECT provider, question_id, file_name AS answer FROM hits, "
+        "(VALUES ('ollama'), ('OpenAI'), ('gemini'), ('unheard-of')) p(provider) WHERE rank = 1",
         "stream_classify": f"WITH {_MESSAGES} SELECT file_name, content_type, title, topic, "
         "classified_at FROM classified",
         "stream_run": f"WITH {_MESSAGES} SELECT file_name, content_type, title, topic, classified_at "
         "FROM classified",
-        "bronze": f"SELECT 'text/plain' AS content_type, {_strip('text')} AS text_content, '' AS author, "
+        "bronze": f"SELECT concat('doc_id=', doc_id) AS file_name, 'text/plain' AS content_type, {_strip('text')} AS text_content, '' AS author, "
         "'' AS title, '' AS created, '' AS language, '' AS num_pages, '2025-03-01 12:00:00' AS "
         "ingested_at FROM documents",
         "silver": f"WITH {_TF_IDF}, n AS (SELECT file_name, count(*) AS tfidf_buckets FROM tf JOIN idf "

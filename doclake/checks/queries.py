@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,9 @@ from doclake.functions.metadata import first_value_or_empty, meta_fallback
 from doclake.functions.topics import classify_topic, summarise
 from doclake.operators import answers, cleaning, features, quality, similarity, tables, training
 from doclake.operators.extract import extract_documents, extract_pages
-from doclake.operators.joins import lookup_join
 from doclake.plans import layers, marts, reports
 from doclake.plans.ingest import ingest_tables
-from doclake.session import scratch_path
+from doclake.session import cut_lineage, scratch_path
 from doclake.sources import from_rows, scan_catalog, scan_csv, scan_files, scan_parquet, stream_source
 from doclake.streaming import stream_classify, stream_run, stream_upsert
 
@@ -168,7 +168,7 @@ def stream_upsert_(spark, sf_dir):
     )
     classified = stream_classify(raw, LEXICON, now=inputs.message_time())
     (
-        classified.writeStream.foreachBatch(stream_upsert(keyed))
+        classified.writeStream.foreachBatch(stream_upsert(keyed, "messages"))
         .option("checkpointLocation", scratch_path(spark, "checkpoint"))
         .trigger(availableNow=True)
         .start()
@@ -177,6 +177,31 @@ def stream_upsert_(spark, sf_dir):
     return _times_as_text(keyed.latest())
 
 
+@query
+def keyed_runs(spark, sf_dir):
+    """Two runs, a compaction, replays of both and a stream that counts from zero again."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("file_name"), "doc_id", "lang"
+    )
+    schema = "file_name string, lang string, step int"
+
+    def step(rows, number):
+        return rows.select("file_name", "lang", F.lit(number).alias("step"), "doc_id")
+
+    first = step(docs.filter("doc_id % 3 <> 0"), 1)
+    second = step(docs.filter("doc_id % 3 <> 1"), 2)
+    live = tables.KeyedTable(spark, scratch_path(spark, "live"), "file_name", schema)
+    live.upsert(first, "run-a", ["doc_id"])
+    live.upsert(second, "run-b", ["doc_id"])
+    stream_upsert(live, "old-checkpoint", ["doc_id"])(step(docs.filter("doc_id % 7 = 0"), 3), 0)
+    compacted = live.compact(scratch_path(spark, "compacted"))
+    compacted.upsert(first, "run-a", ["doc_id"])
+    compacted.upsert(second, "run-b", ["doc_id"])
+    stream_upsert(compacted, "new-checkpoint", ["doc_id"])(step(docs.filter("doc_id % 5 = 0"), 4), 0)
+    compacted.upsert(second, "run-b", ["doc_id"])
+    return compacted.latest()
+
+
 @query
 def view_staging(spark, sf_dir):
     return _times_as_text(
@@ -526,7 +551,7 @@ def cosine_score(spark, sf_dir):
     means = inputs.centroids(spark, sf_dir).select(
         F.col("question_id").alias("label"), F.col("embedding").alias("mean")
     )
-    joined = lookup_join(table(spark, sf_dir, "embeddings"), means, "label", spread_by="vec_id")
+    joined = table(spark, sf_dir, "embeddings").join(means, "label", "left")
     return joined.select(
         "vec_id", "label", (F.round(vec.cosine_score("embedding", "mean"), 6) + 0.0).alias("score")
     )
@@ -625,23 +650,29 @@ def _quality_training(spark, sf_dir):
 
 @query
 def train_topic_model(spark, sf_dir):
-    data = _quality_training(spark, sf_dir)
-    model = training.train_topic_model(data, QUALITY)
-    return (
-        training.predict_topics(model, data, QUALITY)
-        .groupBy("topic", "predicted_topic")
-        .agg(F.count(F.lit(1)).alias("docs"))
-    )
+    """Rows on either side of the split, and whether the held-out ones are told apart."""
+    train, test = training.hold_out(_quality_training(spark, sf_dir), "doc_id")
+    model = training.train_topic_model(train, QUALITY)
+    sides = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    most = test.groupBy("topic").count().agg(F.max("count") / F.sum("count")).first()[0]
+    better = training.accuracy(model, test, QUALITY) >= most
+    counted = sides.groupBy("side", "topic").agg(F.count(F.lit(1)).alias("docs"))
+    return counted.withColumn("at_least_majority", F.lit(better))
 
 
 @query
 def save_model(spark, sf_dir):
+    """The stored model gives every row what the model in memory gives it."""
     data = _quality_training(spark, sf_dir)
     path = scratch_path(spark, "model")
-    training.save_model(training.train_topic_model(data, QUALITY, rounds=3), path)
-    return training.predict_topics(training.load_model(path), data, QUALITY).select(
-        "doc_id", "topic", "predicted_topic"
+    model = training.train_topic_model(data, QUALITY, rounds=3)
+    training.save_model(model, path)
+    scored = training.predict_topics(model, data, QUALITY).select(
+        "doc_id", "topic", F.col("predicted_topic").alias("memory")
     )
+    loaded = training.predict_topics(training.load_model(path), data, QUALITY)
+    joined = scored.join(loaded.select("doc_id", F.col("predicted_topic").alias("stored")), "doc_id")
+    return joined.select("doc_id", "topic", (F.col("memory") == F.col("stored")).alias("same"))
 
 
 # --- extraction --------------------------------------------------------------
@@ -665,10 +696,23 @@ def extract_documents_(spark, sf_dir):
 def extract_pages_(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select(F.col("url").alias("file_name"), "html")
     return extract_pages(pages, now=inputs.fixed_time()).select(
-        "file_name", "title", "language", F.length("text_content").alias("chars")
+        "file_name", "title", "language", "text_content"
     )
 
 
+@query
+def extract_latin1(spark, sf_dir):
+    """Files in ISO-8859-1 where the text allows it and the id is even, in UTF-8 elsewhere."""
+    old = (F.col("doc_id") % 2 == 0) & ~F.col("text").rlike(r"[^\x00-\xff]")
+    files = table(spark, sf_dir, "documents").select(
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("file_name"),
+        F.when(old, F.encode(F.when(old, F.col("text")), "ISO-8859-1"))
+        .otherwise(F.encode("text", "UTF-8"))
+        .alias("content"),
+    )
+    return extract_documents(files, now=inputs.fixed_time()).select("file_name", "text_content")
+
+
 # --- retrieval ---------------------------------------------------------------
 
 
@@ -703,10 +747,29 @@ def _first_source_client():
 
 @query
 def generate_answers(spark, sf_dir):
-    answered = answers.generate_answers(
-        _prompts(spark, sf_dir), {"ollama": _first_source_client}, "ollama"
-    )
-    return answered.select("question_id", "answer")
+    """Each provider's shape of reply, and a provider that nobody knows."""
+    shapes = {
+        "ollama": lambda text: {"response": text},
+        "openai": lambda text: {"choices": [{"message": {"content": text}}]},
+        "gemini": lambda text: {"candidates": [{"content": {"parts": [{"text": text}]}}]},
+    }
+
+    def factory(shape):
+        def client():
+            first = _first_source_client()
+            return lambda prompt, t: json.dumps(shape(json.loads(first(prompt, t))["response"]))
+
+        return client
+
+    clients = {name: factory(shape) for name, shape in shapes.items()}
+    prompts = cut_lineage(_prompts(spark, sf_dir))
+    answered = [
+        answers.generate_answers(prompts, clients, name).select(
+            F.lit(name).alias("provider"), "question_id", "answer"
+        )
+        for name in ("ollama", "OpenAI", "gemini", "unheard-of")
+    ]
+    return reduce(DataFrame.unionByName, answered)
 
 
 # --- streaming ---------------------------------------------------------------
@@ -745,8 +808,13 @@ def stream_run_(spark, sf_dir):
 
 @query
 def bronze(spark, sf_dir):
-    raw = layers.bronze(spark, _write_text_files(spark, sf_dir), now=inputs.fixed_time())
-    return _times_as_text(raw.drop("file_name"))
+    """A folder for each document; the name below the root is the key."""
+    folder = scratch_path(spark, "files")
+    table(spark, sf_dir, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(folder)
+    raw = layers.bronze(spark, folder, recursive=True, now=inputs.fixed_time())
+    return _times_as_text(
+        raw.withColumn("file_name", F.regexp_extract("file_name", "^(doc_id=[0-9]+)/[^/]+[.]txt$", 1))
+    )
 
 
 @query
@@ -780,6 +848,17 @@ def marts_(spark, sf_dir):
     return layers.run_marts(lake)
 
 
+@query
+def mart_rows(spark, sf_dir):
+    """The mart that a run stores, row by row."""
+    lake = inputs.fresh_lake(spark)
+    lake.enriched().upsert(inputs.enriched(spark, sf_dir), "run", ["enriched_at"])
+    layers.run_marts(lake)
+    return _times_as_text(spark.table(lake.table("mart_documents_by_topic"))).withColumns(
+        {c: F.round(c, 6) for c in ("topic_avg_text_length", "topic_avg_pages")}
+    )
+
+
 @query
 def run_layers(spark, sf_dir):
     """Files through all layers; statistics of the mart, which has a row per document."""
@@ -811,7 +890,7 @@ def ingest_tables_(spark, sf_dir):
         for name in stamps
     }
     written = ingest_tables(
-        spark, folder, warehouse, database, {n: (f"{n}.csv", c) for n, c in stamps.items()}, schemas
+        spark, folder, warehouse, database, schemas, {n: (f"{n}.csv", c) for n, c in stamps.items()}
     )
 
     def facts(name, key, day, amount):

@@ -52,26 +52,10 @@ def classify_topic(
     return F.when(F.coalesce(text, F.lit("")) == "", UNKNOWN_TOPIC).otherwise(bind(hits, best))
 
 
-# Set look-ups a text may cost before its sentences are scored by sorting.
-_LOOKUPS = 50_000_000
-
-
 def _sentences(text: Column) -> Column:
     return F.split(text, r"(?<=[.!?])\s+")
 
 
-def _repeated(ordered: Column) -> Column:
-    """Distinct items that stand next to an equal one in a sorted list."""
-    twice = F.zip_with(
-        ordered, F.slice(ordered, 2, F.size(ordered)), lambda a, b: F.when(a == b, a)
-    )
-    return F.array_distinct(F.filter(twice, lambda item: item.isNotNull()))
-
-
-def _scores_by_lookup(terms: Column, shared: Column) -> Column:
-    return F.transform(terms, lambda own: F.size(F.array_intersect(own, shared)))
-
-
 def _neighbours(items: Column) -> Column:
     """``(cur, prev, next)`` for every place of a list."""
 
@@ -95,7 +79,7 @@ def _neighbours(items: Column) -> Column:
 
 
 def _scores_by_sorting(terms: Column) -> Column:
-    """The same scores from sorted (term, sentence) pairs, n log n in the text."""
+    """Shared terms of each sentence from sorted (term, sentence) pairs, n log n in the text."""
     pairs = F.sort_array(
         F.flatten(
             F.transform(
@@ -142,25 +126,14 @@ def extractive_summary(text: Column | str, sentences: int = 2) -> Column:
 
     A sentence scores one point for each distinct term that another sentence
     also uses; ties go to the earlier sentence. All work stays inside the row,
-    so no token is shuffled. Look-ups are fastest for ordinary texts; a very
-    long text, where they would grow with the square of its length, gets the
-    same scores by sorting.
+    so no token is shuffled, and grows little more than the text.
     """
 
     def best(parts: Column) -> Column:
-        def scored(terms: Column) -> Column:
-            return bind(
-                _repeated(F.sort_array(F.flatten(terms))),
-                lambda shared: F.when(
-                    F.size(terms).cast("long") * F.size(shared) <= _LOOKUPS,
-                    _scores_by_lookup(terms, shared),
-                ).otherwise(_scores_by_sorting(terms)),
-            )
-
         terms = F.transform(parts, lambda s: F.array_distinct(words(s)))
         ranked = F.sort_array(
             F.transform(
-                bind(terms, scored),
+                bind(terms, _scores_by_sorting),
                 lambda score, place: F.struct((-score).alias("rank"), place.alias("place")),
             )
         )

@@ -9,10 +9,15 @@ from doclake.functions.text import bind, col_of
 
 
 def dot(a: Column | str, b: Column | str) -> Column:
+    """The inner product; vectors of different widths are an error."""
     products = F.zip_with(
         col_of(a), col_of(b), lambda x, y: x.cast("double") * y.cast("double")
     )
-    return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+    alike = F.size(col_of(a)) == F.size(col_of(b))
+    total = F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+    return F.when(col_of(a).isNull() | col_of(b).isNull() | alike, total).otherwise(
+        F.raise_error(F.lit("vectors of different widths"))
+    )
 
 
 def norm(a: Column | str) -> Column:

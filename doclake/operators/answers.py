@@ -18,12 +18,7 @@ from doclake.constants import (
 )
 from doclake.functions.messages import parse_reply
 from doclake.operators.features import embed_query
-from doclake.operators.joins import fits_broadcast, spread_join
 from doclake.operators.similarity import topk_similar
-from doclake.session import cut_lineage
-
-# Document keys that a scan is asked for by name.
-MAX_SCAN_KEYS = 1000
 
 # A factory opens a provider's client and returns a function
 # (prompt, temperature) -> raw JSON reply.
@@ -53,20 +48,10 @@ def with_texts(
 ) -> DataFrame:
     """Add the text of each hit. Texts are read only here, not while scoring.
 
-    The hits are computed once. Few hits are broadcast, and the texts are
-    neither shuffled nor sorted; the keys of very few are also given to the
-    scan, which then skips the row groups and buckets without them. Many hits
-    are joined with often-hit documents spread over several tasks.
+    Each question has at most ``k`` hits; adaptive execution broadcasts them
+    where they are few, and splits often-hit documents where they are many.
     """
-    hits = cut_lineage(hits)
-    texts = documents.select(doc_key, text)
-    if fits_broadcast(hits):
-        names = hits.select(doc_key).distinct().limit(MAX_SCAN_KEYS + 1).collect()
-        if len(names) <= MAX_SCAN_KEYS:
-            texts = texts.filter(F.col(doc_key).isin([row[0] for row in names]))
-        return texts.join(F.broadcast(hits), doc_key)
-    spread = [c for c in hits.columns if c != doc_key]
-    return spread_join(hits, texts, doc_key, spread, how="inner")
+    return hits.join(documents.select(doc_key, text), doc_key)
 
 
 def build_prompt(
@@ -122,3 +107,29 @@ def generate_answers(
 
     replies = prompts.withColumn("_reply", ask("prompt"))
     return replies.withColumn("answer", parse_reply("_reply", provider)).drop("_reply")
+
+
+def answer_questions(
+    documents: DataFrame,
+    questions: DataFrame,
+    clients: dict[str, ClientFactory],
+    provider: str,
+    k: int = DEFAULT_TOP_K,
+    question: str = "question",
+    question_key: str = "question_id",
+    doc_key: str = "file_name",
+    text: str = "text_clean",
+    max_chars: int | None = None,
+    temperature: float = TEMPERATURE,
+    **embedding,
+) -> DataFrame:
+    """Questions to answers in one plan: retrieve, prompt, ask the provider.
+
+    ``documents`` hold ``embedding`` and the text. The hits are stored once, so
+    the questions are encoded and searched a single time.
+    """
+    hits = retrieve(documents, questions, k, question, question_key, doc_key, **embedding)
+    prompts = build_prompt(
+        with_texts(hits, documents, doc_key, text), questions, question, question_key, doc_key, text, max_chars
+    )
+    return generate_answers(prompts, clients, provider, temperature)

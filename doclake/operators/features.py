@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from doclake.constants import EMBEDDING_DIMS, TF_BUCKETS
 from doclake.functions.text import clean_text, lower_trim
 from doclake.functions.vectors import l2_normalise
-from doclake.operators.joins import lookup_join
 from doclake.operators.models import BatchModel, embedding_model
+from doclake.session import scratch_path
 
 
 def tokenize(df: DataFrame, text: str = "text_clean", target: str = "words") -> DataFrame:
@@ -36,6 +36,11 @@ def hashing_tf(
     return counter.transform(tokenize(df, text, "_words")).drop("_words")
 
 
+def idf_weights(df: DataFrame, counts: str, target: str = "tfidf_features") -> DataFrame:
+    """Term counts that are already there weighted by ``ln((N + 1) / (df + 1))``."""
+    return IDF(inputCol=counts, outputCol=target).fit(df.select(counts)).transform(df)
+
+
 def tf_idf(
     df: DataFrame,
     text: str = "text_clean",
@@ -94,21 +99,20 @@ def doc_frequency(df: DataFrame, text: str = "text_clean") -> DataFrame:
 def term_tf_idf(df: DataFrame, key: str, text: str = "text_clean") -> DataFrame:
     """``key, term, tf, df, tf_idf`` by token instead of by bucket.
 
-    The number of documents of a term is also the number of rows it joins to,
-    so the frequent terms that need spreading are known without another pass.
+    Terms are counted once and stored; the number of documents of a term is the
+    number of its rows there. The join leaves frequent terms to adaptive
+    execution, which splits them.
     """
-    frequency = doc_frequency(df, text)
+    spark = df.sparkSession
+    path = scratch_path(spark, "terms")
+    term_counts(df, key, text).write.parquet(path)
+    counts = spark.read.parquet(path)
+    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     documents = df.select(F.lit(1)).count()
-    joined = lookup_join(
-        term_counts(df, key, text),
-        frequency,
-        "term",
-        spread_by=key,
-        how="inner",
-        rows_in="df",
-    )
     idf = F.log(F.lit(documents + 1.0) / (F.col("df") + 1))
-    return joined.select(key, "term", "tf", "df", (F.col("tf") * idf).alias("tf_idf"))
+    return counts.join(frequency, "term").select(
+        key, "term", "tf", "df", (F.col("tf") * idf).alias("tf_idf")
+    )
 
 
 def embed_documents(

@@ -1,16 +1,15 @@
 """Exact vector search in Arrow blocks, without pairing rows in Spark.
 
-The questions, if their checked size is small, travel to the tasks as one
-matrix; each task scores a block of document vectors with one matrix product
-and keeps its own best ``k`` per question. Only those few rows are shuffled.
-More questions than that are cut into tiles (``_tiled``), which meet tiles of
-documents in bounded groups; no question is ever left out.
+Questions go through in blocks of bounded bytes, one after the other, while the
+documents stay where they are: each task scores a block of document vectors with
+one matrix product and keeps its own best ``k`` per question. Only those few
+rows are shuffled. One block or many take the same way.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from doclake.constants import DEFAULT_TOP_K
+from doclake.session import scratch_path
 
-# Numbers a question matrix may hold to be sent with the task (64 MB).
-MAX_QUESTION_NUMBERS = 8_000_000
-TILE_ROWS = 4096
+# Bytes of question keys and vectors that are sent to the tasks at one time.
+BLOCK_BYTES = 64 << 20
 # Scores a task holds at one time (32 MB).
 MAX_SCORES = 4_000_000
 SCORE_DIGITS = 6
@@ -39,10 +38,11 @@ def _matrix(vectors: pa.Array, dims: int) -> np.ndarray:
 
 
 def _cosines(documents: np.ndarray, questions: np.ndarray) -> np.ndarray:
-    lengths = np.outer(
-        np.linalg.norm(documents, axis=1), np.linalg.norm(questions, axis=1)
-    )
-    return np.round((documents @ questions.T) / (lengths + 1e-9), SCORE_DIGITS) + 0.0
+    """Rounded cosines; where a vector holds a number that is not finite, minus infinity."""
+    with np.errstate(all="ignore"):
+        lengths = np.outer(np.linalg.norm(documents, axis=1), np.linalg.norm(questions, axis=1))
+        scores = np.round((documents @ questions.T) / (lengths + 1e-9), SCORE_DIGITS) + 0.0
+    return np.where(np.isfinite(scores), scores, -np.inf)
 
 
 class _Best:
@@ -52,23 +52,24 @@ class _Best:
         self.questions = questions
         self.k = k
         self.kept: list[list[tuple]] = [[] for _ in range(len(questions))]
+        self.floor = np.full(len(questions), -np.inf)
 
     def add(self, keys: list, documents: np.ndarray) -> None:
         step = max(1, MAX_SCORES // max(1, len(keys)))
         for start in range(0, len(self.questions), step):
             scores = _cosines(documents, self.questions[start : start + step])
-            for number in range(scores.shape[1]):
-                self._merge(start + number, keys, scores[:, number])
-
-    def _merge(self, number: int, keys: list, scores: np.ndarray) -> None:
-        kept, floor = self.kept[number], -np.inf
-        if len(scores) > self.k:
-            floor = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
-        if len(kept) == self.k:
-            floor = max(floor, -kept[-1][0])
-        found = [(-scores[i], keys[i]) for i in np.flatnonzero(scores >= floor)]
-        if found:
-            self.kept[number] = heapq.nsmallest(self.k, kept + found)
+            floor = self.floor[start : start + scores.shape[1]]
+            if len(keys) > self.k:
+                place = len(keys) - self.k
+                floor = np.maximum(floor, np.partition(scores, place, axis=0)[place])
+            rows, numbers = np.nonzero((scores >= floor) & (scores > -np.inf))
+            found: dict[int, list[tuple]] = {}
+            for row, number in zip(rows.tolist(), numbers.tolist()):
+                found.setdefault(start + number, []).append((-scores[row, number], keys[row]))
+            for number, more in found.items():
+                kept = self.kept[number] = heapq.nsmallest(self.k, self.kept[number] + more)
+                if len(kept) == self.k:
+                    self.floor[number] = -kept[-1][0]
 
     def rows(self, question_keys: list) -> Iterator[tuple]:
         for key, kept in zip(question_keys, self.kept):
@@ -80,17 +81,37 @@ def _vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
     return df.select(key, vector).filter(F.col(vector).isNotNull())
 
 
-def _question_matrix(questions: DataFrame, key: str, vector: str):
-    """Question keys and matrix, or ``None`` when they exceed the checked bound."""
-    rows, widest, narrowest = questions.agg(
-        F.count(F.lit(1)), F.max(F.size(vector)), F.min(F.size(vector))
+def _question_blocks(
+    questions: DataFrame, key: str, vector: str
+) -> Iterator[tuple[list, np.ndarray]]:
+    """Keys and matrix of each block; blocks are weighed with their keys beforehand."""
+    size = F.octet_length(F.col(key).cast("string")) + 64 + 8 * F.size(vector)
+    weight, widest, narrowest = questions.agg(
+        F.sum(F.coalesce(size, F.lit(64))), F.max(F.size(vector)), F.min(F.size(vector))
     ).first()
-    if rows and widest != narrowest:
+    if widest != narrowest:
         raise ValueError(f"question vectors have {narrowest} to {widest} dimensions")
-    if rows * (widest or 0) > MAX_QUESTION_NUMBERS:
-        return None
-    table = questions.orderBy(key).toArrow()
-    return table.column(0).to_pylist(), _matrix(table.column(1).combine_chunks(), widest or 0)
+    blocks = -(-(weight or 0) // BLOCK_BYTES)
+    number = F.pmod(F.xxhash64(key, vector), F.lit(max(1, blocks)))
+    for block in range(blocks):
+        table = questions.filter(number == block).orderBy(key).toArrow()
+        if table.num_rows:
+            yield table.column(0).to_pylist(), _matrix(table.column(1).combine_chunks(), widest)
+
+
+def _in_turn(
+    documents: DataFrame,
+    blocks: Iterator[tuple[list, np.ndarray]],
+    score: Callable[[list, np.ndarray], Callable],
+    result: StructType,
+) -> DataFrame:
+    """Rows of all blocks of questions over the same documents, stored block by block."""
+    spark = documents.sparkSession
+    path = scratch_path(spark, "scores")
+    spark.createDataFrame([], result).write.parquet(path)
+    for names, matrix in blocks:
+        documents.mapInArrow(score(names, matrix), result).write.mode("append").parquet(path)
+    return spark.read.schema(result).parquet(path)
 
 
 def _result_schema(documents: DataFrame, questions: DataFrame, doc_key: str, question_key: str):
@@ -127,76 +148,22 @@ def _arrow_schema(result: StructType) -> pa.Schema:
 
 
 def _local_best(documents, questions, doc_key, question_key, vector, k) -> DataFrame:
-    """The best ``k`` per question of each task (``k`` None: all scores)."""
+    """The best ``k`` per question of each task."""
     documents = _vectors(documents, doc_key, vector)
     questions = _vectors(questions, question_key, vector)
     result = _result_schema(documents, questions, doc_key, question_key)
     schema = _arrow_schema(result)
-    small = _question_matrix(questions, question_key, vector)
-    if small is None:
-        return _tiled(documents, questions, doc_key, question_key, vector, k, result)
-    question_keys, matrix = small
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(matrix, k) if k else None
-        for batch in batches:
-            vectors = _matrix(batch.column(1), matrix.shape[1])
-            if best:
-                best.add(batch.column(0).to_pylist(), vectors)
-                continue
-            for number, question in enumerate(question_keys):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.repeat(pa.scalar(question, schema.field(0).type), len(vectors)),
-                        batch.column(0).cast(schema.field(1).type),
-                        pa.array(_cosines(vectors, matrix[number : number + 1])[:, 0]),
-                    ],
-                    schema=schema,
-                )
-        if best:
-            yield from _to_batches(best.rows(question_keys), schema)
-
-    return documents.mapInArrow(score, result)
-
-
-def _tiled(documents, questions, doc_key, question_key, vector, k, result) -> DataFrame:
-    """Every tile of documents meets every tile of questions in one bounded group."""
-    schema = _arrow_schema(result)
-    doc_tiles = -(-documents.count() // TILE_ROWS) or 1
-    question_tiles = -(-questions.count() // TILE_ROWS) or 1
 
-    def tile(df, key, own, own_tiles, other, other_tiles):
-        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_tiles)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(other_tiles - 1)))
-        )
+    def score(question_keys: list, matrix: np.ndarray):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = _Best(matrix, k)
+            for batch in batches:
+                best.add(batch.column(0).to_pylist(), _matrix(batch.column(1), matrix.shape[1]))
+            yield from _to_batches(best.rows(question_keys), schema)
 
-    left = tile(documents, doc_key, "_dt", doc_tiles, "_qt", question_tiles)
-    right = tile(questions, question_key, "_qt", question_tiles, "_dt", doc_tiles)
-    order = ["_dt", "_qt"]
-
-    def score(docs: pa.Table, asked: pa.Table) -> pa.Table:
-        rows: Iterator[tuple] = iter(())
-        if docs.num_rows and asked.num_rows:
-            asked = asked.sort_by(question_key)
-            names = asked.column(question_key).to_pylist()
-            theirs = asked.column(vector).combine_chunks()
-            matrix = _matrix(theirs, len(theirs[0]))
-            keys = docs.column(doc_key).to_pylist()
-            vectors = _matrix(docs.column(vector).combine_chunks(), matrix.shape[1])
-            if k:
-                best = _Best(matrix, k)
-                best.add(keys, vectors)
-                rows = best.rows(names)
-            else:
-                scores = _cosines(vectors, matrix)
-                rows = (
-                    (names[q], keys[d], float(scores[d, q]))
-                    for q in range(len(names))
-                    for d in range(len(keys))
-                )
-        return pa.Table.from_batches(list(_to_batches(rows, schema)), schema)
+        return run
 
-    return left.groupBy(*order).cogroup(right.groupBy(*order)).applyInArrow(score, result)
+    return _in_turn(documents, _question_blocks(questions, question_key, vector), score, result)
 
 
 def score_documents(
@@ -205,9 +172,38 @@ def score_documents(
     doc_key: str = "file_name",
     question_key: str = "question_id",
     vector: str = "embedding",
+    least_score: float = -1.0,
 ) -> DataFrame:
-    """``question, document, score`` for each question vector and each document."""
-    return _local_best(documents, questions, doc_key, question_key, vector, None)
+    """``question, document, score`` of the pairs that score ``least_score`` or more.
+
+    The default keeps all, so it is meant for few questions; a higher score
+    bounds what leaves the tasks.
+    """
+    documents = _vectors(documents, doc_key, vector)
+    questions = _vectors(questions, question_key, vector)
+    result = _result_schema(documents, questions, doc_key, question_key)
+    schema = _arrow_schema(result)
+
+    def score(question_keys: list, matrix: np.ndarray):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                vectors = _matrix(batch.column(1), matrix.shape[1])
+                keys = batch.column(0).cast(schema.field(1).type)
+                for number, question in enumerate(question_keys):
+                    scores = _cosines(vectors, matrix[number : number + 1])[:, 0]
+                    rows = np.nonzero(scores >= least_score)[0]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.repeat(pa.scalar(question, schema.field(0).type), len(rows)),
+                            keys.take(pa.array(rows)),
+                            pa.array(scores[rows]),
+                        ],
+                        schema=schema,
+                    )
+
+        return run
+
+    return _in_turn(documents, _question_blocks(questions, question_key, vector), score, result)
 
 
 def topk_similar(
@@ -221,6 +217,7 @@ def topk_similar(
     """The ``k`` most similar documents per question, best first.
 
     Scores are rounded before ranking and equal scores go to the lower key.
+    Vectors with a number that is not finite are found by no question.
     """
     best = _local_best(documents, questions, doc_key, question_key, vector, k)
     order = Window.partitionBy(question_key).orderBy(F.desc("score"), F.asc(doc_key))
@@ -234,7 +231,10 @@ def classify_by_prototype(
     label_key: str = "label",
     vector: str = "embedding",
 ) -> DataFrame:
-    """``document, label, score`` of the most similar prototype; ties to the lower label."""
+    """``document, label, score`` of the most similar prototype; ties to the lower label.
+
+    A document whose vector holds a number that is not finite gets none.
+    """
     docs = _vectors(documents, doc_key, vector)
     labels = _vectors(prototypes, label_key, vector)
     result = StructType(
@@ -244,35 +244,30 @@ def classify_by_prototype(
             StructField("score", DoubleType()),
         ]
     )
-    small = _question_matrix(labels, label_key, vector)
-    if small is None:
-        scores = _result_schema(docs, labels, doc_key, label_key)
-        best = _tiled_best(docs, labels, doc_key, label_key, vector, scores)
-        return best.select(doc_key, label_key, "score")
-    names, matrix = small
     schema = _arrow_schema(result)
 
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = max(1, MAX_SCORES // max(1, len(names)))
-        slices = (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step))
-        for part in slices if names else ():
-            scores = _cosines(_matrix(part.column(1), matrix.shape[1]), matrix)
-            place = scores.argmax(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0).cast(schema.field(0).type),
-                    pa.array([names[p] for p in place], schema.field(1).type),
-                    pa.array(scores[np.arange(len(place)), place], pa.float64()),
-                ],
-                schema=schema,
-            )
-
-    return docs.mapInArrow(nearest, result)
-
-
-def _tiled_best(docs, labels, doc_key, label_key, vector, scores) -> DataFrame:
-    """Best label per document from tiles: swap the roles, then merge the tiles."""
-    swapped = StructType([scores[1], scores[0], scores[2]])
-    best = _tiled(labels, docs, label_key, doc_key, vector, 1, swapped)
-    order = Window.partitionBy(doc_key).orderBy(F.desc("score"), F.asc(label_key))
-    return best.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
+    def score(names: list, matrix: np.ndarray):
+        def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            step = max(1, MAX_SCORES // len(names))
+            for part in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
+                scores = _cosines(_matrix(part.column(1), matrix.shape[1]), matrix)
+                place = scores.argmax(axis=1)
+                best = scores[np.arange(len(place)), place]
+                found = pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).cast(schema.field(0).type),
+                        pa.array([names[p] for p in place], schema.field(1).type),
+                        pa.array(best, pa.float64()),
+                    ],
+                    schema=schema,
+                )
+                yield found.filter(pa.array(best > -np.inf))
+
+        return nearest
+
+    found = _in_turn(docs, _question_blocks(labels, label_key, vector), score, result)
+    # each block of prototypes has named its own best
+    best = F.min(F.struct((-F.col("score")).alias("rank"), label_key))
+    return found.groupBy(doc_key).agg(best.alias("_best")).select(
+        doc_key, f"_best.{label_key}", (-F.col("_best.rank") + 0.0).alias("score")
+    )

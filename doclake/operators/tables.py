@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from doclake.constants import MART_BUCKETS
 
@@ -92,9 +94,11 @@ def upsert_by_key(
 
     Changes without a key are left out; ``rejected_rows`` returns them.
     """
-    latest = latest_by_key(changes.filter(F.col(key).isNotNull()), key, order)
-    kept = current.join(latest.select(key), key, "left_anti")
-    return kept.unionByName(latest.select(*current.columns))
+    keyed = changes.filter(F.col(key).isNotNull())
+    latest = latest_by_key(keyed, key, order).select(*current.columns).withColumn("_new", F.lit(1))
+    both = current.withColumn("_new", F.lit(0)).unionByName(latest)
+    without_key = both.filter(F.col(key).isNull())
+    return latest_by_key(both.filter(F.col(key).isNotNull()), key, ["_new"]).unionByName(without_key).drop("_new")
 
 
 def rejected_rows(changes: DataFrame, key: str) -> DataFrame:
@@ -104,10 +108,16 @@ def rejected_rows(changes: DataFrame, key: str) -> DataFrame:
 class KeyedTable:
     """A table with one live row per key, stored as a change log.
 
-    Each batch is one ``batch_id`` partition of a Parquet folder. Writing a
-    batch again replaces its own partition, so a replay changes nothing.
+    Each batch is one ``batch_id`` partition of a Parquet folder. A batch has a
+    name that no other run or source uses. The first write of a batch gives it
+    the next version; writing it again keeps its version and replaces its own
+    rows alone. The row with the highest version is the live one, so neither a
+    replay nor a source that counts from zero again can bring old rows back.
+    One writer at a time is assumed.
     """
 
+    BASE = "compacted"
+
     def __init__(self, spark: SparkSession, path: str, key: str, schema: str | StructType):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -115,45 +125,73 @@ class KeyedTable:
         self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def upsert(
-        self, batch: DataFrame, batch_id: int, order: Sequence[str | Column] = ()
+        self, batch: DataFrame, batch_id: int | str, order: Sequence[str | Column] = ()
     ) -> None:
-        """Store the latest row per key of ``batch``; rows without a key go to the rejects."""
-        rows = batch.select(*self.schema.names)
-        keyed = rows.filter(F.col(self.key).isNotNull())
-        self._write(latest_by_key(keyed, self.key, order), self.path, batch_id)
-        self._write(rejected_rows(rows, self.key), f"{self.path}_rejects", batch_id)
-
-    def _write(self, rows: DataFrame, path: str, batch_id: int) -> None:
-        (
-            rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.partitionBy("batch_id")
-            .option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite")
-            .parquet(path)
+        """Store the latest row per key of ``batch``; rows without a key go to the rejects.
+
+        ``order`` may name columns that are not stored.
+        """
+        version = self._version(str(batch_id))
+        keyed = batch.filter(F.col(self.key).isNotNull())
+        self._write(latest_by_key(keyed, self.key, order), self.path, batch_id, version)
+        self._write(rejected_rows(batch, self.key), f"{self.path}_rejects", batch_id, version)
+
+    def _version(self, batch_id: str) -> int:
+        """The batch's version, noted before any of its rows is written."""
+        batches = self.batches()
+        known = batches.filter(F.col("batch_id") == batch_id).agg(F.min("version")).first()[0]
+        if known is not None:
+            return known
+        version = (batches.agg(F.max("version")).first()[0] or 0) + 1
+        noted = self.spark.createDataFrame([(batch_id, version)], self._BATCHES)
+        noted.coalesce(1).write.mode("append").parquet(f"{self.path}_batches")
+        return version
+
+    def _write(self, rows: DataFrame, path: str, batch_id: int | str, version: int | None) -> None:
+        """Replace the rows of one batch, also by none."""
+        name = re.sub(r"[^A-Za-z0-9._-]", "_", str(batch_id))
+        stored = rows if version is None else rows.withColumn("_version", F.lit(version).cast("long"))
+        stored.select(*self.schema.names, "_version").write.mode("overwrite").parquet(
+            f"{path}/batch_id={name}"
         )
 
-    def _read(self, path: str) -> DataFrame:
-        stored = StructType(self.schema.fields + [StructField("batch_id", LongType())])
-        return self.spark.read.schema(stored).parquet(path)
+    _BATCHES = "batch_id string, version long"
+
+    def _read(self, path: str, schema: str | StructType) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
+    def _log_schema(self) -> StructType:
+        added = [StructField("_version", LongType()), StructField("batch_id", StringType())]
+        return StructType(self.schema.fields + added)
+
+    def batches(self) -> DataFrame:
+        """Names and versions of all batches so far."""
+        return self._read(f"{self.path}_batches", self._BATCHES)
 
     def log(self) -> DataFrame:
-        return self._read(self.path)
+        return self._read(self.path, self._log_schema())
 
     def rejects(self) -> DataFrame:
-        return self._read(f"{self.path}_rejects")
+        return self._read(f"{self.path}_rejects", self._log_schema())
 
     def latest(self) -> DataFrame:
-        return latest_by_key(self.log(), self.key, ["batch_id"]).drop("batch_id")
+        return latest_by_key(self.log(), self.key, ["_version"]).drop("_version", "batch_id")
 
     def compact(self, path: str) -> "KeyedTable":
         """Write the live rows to a new folder that takes later batches in turn.
 
-        The old folder stays readable, so a failed run loses nothing.
+        Rows keep their versions and the new table knows the old batches, so a
+        batch that is replayed into it finds its place. The old folder stays
+        readable, so a failed run loses nothing.
         """
-        log = self.log()
-        newest = log.agg(F.max("batch_id")).first()[0]
         compacted = KeyedTable(self.spark, path, self.key, self.schema)
-        if newest is not None:
-            live = latest_by_key(log.filter(F.col("batch_id") <= newest), self.key, ["batch_id"])
-            compacted._write(live.drop("batch_id"), compacted.path, newest)
+        live = latest_by_key(self.log(), self.key, ["_version"])
+        compacted._write(live, compacted.path, self.BASE, None)
+        compacted._write(self.rejects(), f"{compacted.path}_rejects", self.BASE, None)
+        self.batches().coalesce(1).write.mode("overwrite").parquet(f"{compacted.path}_batches")
         return compacted

@@ -34,6 +34,18 @@ def training_set(silver: DataFrame, gold: DataFrame, key: str = "file_name") ->
     return texts.join(topics, key)
 
 
+def hold_out(
+    data: DataFrame, key: str = "file_name", percent: int = 20, seed: int = SEED
+) -> tuple[DataFrame, DataFrame]:
+    """Rows to train on and rows to test with, by a hash of the key and the seed.
+
+    The same row falls on the same side in every run, and so do its copies.
+    """
+    text = F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))
+    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 100
+    return data.filter(draw >= percent), data.filter(draw < percent)
+
+
 def train_topic_model(
     data: DataFrame,
     labels: Sequence[str] = TOPICS,
@@ -65,12 +77,13 @@ def predict_topics(
     return scored.drop("_words", "_tf", "features", "rawPrediction", "probability", "prediction")
 
 
-def training_accuracy(
+def accuracy(
     model: PipelineModel,
     data: DataFrame,
     labels: Sequence[str] = TOPICS,
     label: str = "topic",
 ) -> float:
+    """Share of rows with the right label; over held-out rows, the metric of a model."""
     scored = model.transform(
         data.withColumn("label", encode_labels(label, labels).cast("double"))
     )

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doclake.constants import DOCUMENT_SUFFIXES
+from doclake.constants import DOCUMENT_SUFFIXES, SHORT_TEXT_CHARS, UNKNOWN_TOPIC
 from doclake.functions.messages import now_or, whole_seconds
 from doclake.functions.topics import DEFAULT_LEXICON, classify_topic, summarise
 from doclake.operators.cleaning import clean_long_texts
-from doclake.operators.extract import Parser, extract_documents
-from doclake.operators.features import embed_documents, tf_idf, tokenize
+from doclake.operators.extract import ParserFactory, extract_documents
+from doclake.operators.features import embed_documents, hashing_tf, idf_weights, tokenize
 from doclake.operators.models import BatchModel, label_model, text_model
 from doclake.operators.quality import check_models
 from doclake.operators.tables import KeyedTable, bucket_count, table_mart, write_table
 from doclake.plans.marts import mart_by_topic, mart_summaries, stg_normalise
+from doclake.session import scratch_path
 from doclake.sources.files import scan_files
 
 # The columns of the enriched table; ``file_name`` is its key.
@@ -31,7 +33,7 @@ GOLD_SCHEMA = (
 def bronze(
     spark: SparkSession,
     folder: str,
-    parser: Parser | None = None,
+    parser: ParserFactory | None = None,
     suffixes: Sequence[str] = DOCUMENT_SUFFIXES,
     recursive: bool = False,
     now: Column | None = None,
@@ -49,9 +51,13 @@ def silver(
 ) -> DataFrame:
     """Clean text with its length, TF-IDF and embedding; too short texts are left out."""
     cleaned = clean_long_texts(raw).drop("text_content")
-    weighted = tf_idf(tokenize(cleaned, target="_words"), words="_words")
-    embedded = embed_documents(weighted, model=model, max_chars=max_chars, words="_words")
-    return embedded.drop("_words").withColumn("processed_at", now_or(now))
+    counted = hashing_tf(tokenize(cleaned, target="_words"), target="_counts", words="_words")
+    embedded = embed_documents(counted, model=model, max_chars=max_chars, words="_words")
+    # Cleaned, tokenised and counted once: fitting and weighting read the stored counts.
+    path = scratch_path(raw.sparkSession, "counted")
+    embedded.drop("_words").write.parquet(path)
+    weighted = idf_weights(raw.sparkSession.read.parquet(path), "_counts")
+    return weighted.drop("_counts").withColumn("processed_at", now_or(now))
 
 
 def gold(
@@ -63,8 +69,16 @@ def gold(
 ) -> DataFrame:
     """Topic and summary of each document, ready for the keyed table."""
     text = F.col("text_clean")
-    summary = text_model(summary_model, "string")(text) if summary_model else summarise(text)
-    topic = label_model(topic_model)(text) if topic_model else classify_topic(text, lexicon)
+    given = F.coalesce(text, F.lit(""))
+    summary, topic = summarise(text), classify_topic(text, lexicon)
+    # Fixed rules come before any model: short texts are their own summary, and
+    # a text that is missing has no topic.
+    if summary_model:
+        modelled = text_model(summary_model, "string")(F.when(F.length(given) >= SHORT_TEXT_CHARS, text))
+        summary = F.when(F.length(given) < SHORT_TEXT_CHARS, given).otherwise(modelled)
+    if topic_model:
+        modelled = label_model(topic_model)(F.when(given != "", text))
+        topic = F.when(given == "", UNKNOWN_TOPIC).otherwise(modelled)
     return features.select(
         "file_name",
         "content_type",
@@ -90,8 +104,11 @@ class Lake:
     folder: str
     database: str = "doclake"
     recursive: bool = False
-    parser: Parser | None = None
+    parser: ParserFactory | None = None
     embedding: BatchModel | None = None
+    summary_model: BatchModel | None = None
+    topic_model: BatchModel | None = None
+    max_chars: int | None = None
     lexicon: Mapping[str, Sequence[str]] = field(default_factory=lambda: DEFAULT_LEXICON)
     now: Column | None = None
 
@@ -107,7 +124,7 @@ class Lake:
         )
 
 
-def _run_bronze(lake: Lake, batch_id: int) -> int:
+def _run_bronze(lake: Lake, batch_id: str) -> int:
     raw = bronze(
         lake.spark, lake.folder, lake.parser, recursive=lake.recursive, now=lake.now
     )
@@ -116,35 +133,43 @@ def _run_bronze(lake: Lake, batch_id: int) -> int:
     )
 
 
-def _run_silver(lake: Lake, batch_id: int) -> int:
+def _run_silver(lake: Lake, batch_id: str) -> int:
     raw = lake.spark.read.parquet(lake.path("bronze", "documents"))
     return write_table(
-        silver(raw, lake.embedding, lake.now),
+        silver(raw, lake.embedding, lake.now, lake.max_chars),
         lake.table("documents_features"),
         lake.path("silver", "documents_features"),
         lake.path("db"),
     )
 
 
-def _run_gold(lake: Lake, batch_id: int) -> int:
+def _run_gold(lake: Lake, batch_id: str) -> int:
     features = lake.spark.read.parquet(lake.path("silver", "documents_features"))
     table = lake.enriched()
-    table.upsert(gold(features, lake.lexicon, now=lake.now), batch_id, ["enriched_at"])
+    enriched = gold(features, lake.lexicon, lake.summary_model, lake.topic_model, lake.now)
+    table.upsert(enriched, batch_id, ["enriched_at"])
     return table.log().filter(F.col("batch_id") == batch_id).count()
 
 
-LAYERS: dict[str, Callable[[Lake, int], int]] = {
+LAYERS: dict[str, Callable[[Lake, str], int]] = {
     "bronze": _run_bronze,
     "silver": _run_silver,
     "gold": _run_gold,
 }
 
 
-def run_layers(lake: Lake, layer: str | None = None, batch_id: int = 0) -> dict[str, int]:
-    """Run one layer by name, or all of them in order; returns rows per layer."""
+def run_layers(
+    lake: Lake, layer: str | None = None, batch_id: str | None = None
+) -> dict[str, int]:
+    """Run one layer by name, or all of them in order; returns rows per layer.
+
+    Each run adds to the enriched table under a name of its own. Give the
+    ``batch_id`` of a run that failed to run it again in its place.
+    """
     if layer is not None and layer not in LAYERS:
         raise ValueError(f"no layer {layer!r}; choose from {', '.join(LAYERS)}")
     chosen = [layer] if layer else list(LAYERS)
+    batch_id = batch_id or f"run-{uuid.uuid4().hex}"
     return {name: LAYERS[name](lake, batch_id) for name in chosen}
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from doclake.constants import UNKNOWN_AUTHOR
 from doclake.operators.cleaning import filter_summary_length
-from doclake.operators.joins import lookup_join
 
 
 def _or_null(column: str) -> Column:
@@ -50,9 +49,8 @@ def topic_stats(staging: DataFrame) -> DataFrame:
 def mart_by_topic(staging: DataFrame) -> DataFrame:
     """Every document with the statistics of its topic; NULL topics get none.
 
-    The statistics are computed from three narrow columns and their size is
-    checked before they are sent to all tasks, so the wide document rows are
-    not shuffled.
+    The statistics are a few narrow rows; adaptive execution broadcasts them by
+    their size at run time, or splits the rows of a frequent topic.
     """
     stats = topic_stats(staging).select(
         "topic",
@@ -60,13 +58,7 @@ def mart_by_topic(staging: DataFrame) -> DataFrame:
         F.col("avg_text_length").alias("topic_avg_text_length"),
         F.col("avg_pages").alias("topic_avg_pages"),
     )
-    joined = lookup_join(
-        staging,
-        stats.filter(F.col("topic").isNotNull()),
-        "topic",
-        spread_by="file_name",
-        rows_in="topic_total_docs",
-    )
+    joined = staging.join(stats.filter(F.col("topic").isNotNull()), "topic", "left")
     return joined.select(
         "file_name",
         "document_title",
@@ -102,4 +94,4 @@ def mart_summaries(staging: DataFrame) -> DataFrame:
 
 def newest_first(mart: DataFrame) -> DataFrame:
     """Reading order of the summaries mart."""
-    return mart.orderBy(F.desc("enriched_at"))
+    return mart.orderBy(F.desc("enriched_at"), "file_name")

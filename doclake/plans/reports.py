@@ -19,16 +19,19 @@ def report_silver(silver: DataFrame) -> DataFrame:
 
 
 def report_enriched(enriched: DataFrame) -> DataFrame:
-    """Enriched documents, newest first."""
+    """Enriched documents, newest first.
+
+    The name as second key spreads the rows of one run over all sort tasks.
+    """
     return enriched.select("file_name", "topic", "summary", "enriched_at").orderBy(
-        F.desc("enriched_at")
+        F.desc("enriched_at"), "file_name"
     )
 
 
 def report_topics(mart: DataFrame) -> DataFrame:
     """Topic statistics by size, one row per document of the mart."""
-    return mart.select("topic", "topic_total_docs", "topic_avg_text_length").orderBy(
-        F.desc("topic_total_docs")
+    return mart.orderBy(F.desc("topic_total_docs"), "file_name").select(
+        "topic", "topic_total_docs", "topic_avg_text_length"
     )
 
 

@@ -12,35 +12,19 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread_small(df: DataFrame, *key: str) -> DataFrame:
-    """Rows over all cores when the input would keep at most half of them busy.
-
-    ``key`` tells rows apart; without it Spark deals the rows out in turn, for
-    which it has to sort them first.
-
-    A small table is often one file with one row group, which one task would
-    work through alone. A table with more splits is returned as it is, without
-    a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *key) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
 def scan_csv(
     spark: SparkSession,
     path: str,
-    schema: StructType | str | None = None,
-    multi_line: bool = True,
+    schema: StructType | str,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header and doubled quotes as escapes.
 
-    Give a ``schema`` for large inputs: inference reads the data one more time.
-    ``multi_line`` keeps quoted line breaks, at the price that one file is one
-    task; turn it off where no field holds a line break and files are large.
+    The ``schema`` saves a pass over the data. ``multi_line`` allows line breaks
+    within quotes, at the price that one file is one task.
     """
     reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return reader.csv(path)
+    return reader.schema(schema).csv(path)
 
 
 def scan_catalog(spark: SparkSession, table: str) -> DataFrame:

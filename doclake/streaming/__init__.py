@@ -1,3 +1,9 @@
-from doclake.streaming.documents import stream_classify, stream_run, stream_upsert
+from doclake.streaming.documents import (
+    arrival,
+    classify_stream,
+    stream_classify,
+    stream_run,
+    stream_upsert,
+)
 
-__all__ = ["stream_classify", "stream_run", "stream_upsert"]
+__all__ = ["arrival", "classify_stream", "stream_classify", "stream_run", "stream_upsert"]

@@ -1,10 +1,12 @@
 """Files, extraction, messages, streams, models and the layers end to end."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from doclake.constants import PROMPT_HEAD, TOPICS
 from doclake.functions import html
 from doclake.functions import messages as msg
@@ -14,8 +16,9 @@ from doclake.operators.extract import extract_documents
 from doclake.operators.tables import KeyedTable
 from doclake.plans import Lake, ingest_tables, run_layers, run_marts
 from doclake.session import scratch_path
-from doclake.sources import kafka_options, scan_csv, scan_files, spread_small, stream_source
-from doclake.streaming import stream_classify, stream_run
+from doclake.sources import kafka_options, scan_csv, scan_files, stream_source
+from doclake.plans.layers import gold
+from doclake.streaming import classify_stream, stream_classify, stream_run
 from doclake.streaming.documents import STREAM_SCHEMA, rejected_messages
 
 PAGE = (
@@ -44,31 +47,63 @@ def names(df):
 def test_scan_files(spark, folder):
     assert names(scan_files(spark, folder)) == ["a.txt", "b.HTML", "c.pdf"]
     assert names(scan_files(spark, folder, ["pdf", "html"], ignore_case=False)) == ["c.pdf"]
-    assert names(scan_files(spark, folder, ["txt"], recursive=True)) == ["a.txt", "e.txt"]
+    assert names(scan_files(spark, folder, ["txt"], recursive=True)) == ["a.txt", "sub/e.txt"]
 
 
 def test_extract(spark, folder):
     rows = {r["file_name"]: r for r in extract_documents(scan_files(spark, folder)).collect()}
     assert rows["a.txt"]["text_content"].startswith("O mercado")
     page = rows["b.HTML"]
-    assert (page["title"], page["author"], page["language"]) == ("Pre&ccedil;os & índices", "Ana & Rui", "pt")
+    assert (page["title"], page["author"], page["language"]) == ("Preços & índices", "Ana & Rui", "pt")
     assert page["text_content"].endswith("IPCA longo") and "hidden" not in page["text_content"]
     assert rows["c.pdf"]["text_content"] == "" and rows["c.pdf"]["content_type"] == "application/pdf"
     assert rows["a.txt"]["num_pages"] == "" and rows["a.txt"]["ingested_at"] is not None
 
 
 def test_extract_with_parser(spark, folder):
-    def parser(name, content):
-        return f" {name} {len(content)}\n", {"Author": ["Eva", "Rui"], "Page-Count": [3], "title": []}
+    def factory():
+        def parser(name, content):
+            if b"broken" in content:
+                raise ValueError("no such page")
+            return f" {name} {len(content)}\n", {"Author": ["Eva", "Rui"], "Page-Count": [3], "title": []}
+
+        return parser
 
-    rows = {r["file_name"]: r for r in extract_documents(scan_files(spark, folder), parser).collect()}
+    with open(f"{folder}/z.pdf", "wb") as file:
+        file.write(b"broken")
+    rows = {r["file_name"]: r for r in extract_documents(scan_files(spark, folder), factory, errors=True).collect()}
     pdf = rows["c.pdf"]
     assert (pdf["text_content"], pdf["author"], pdf["num_pages"], pdf["title"]) == ("c.pdf 14", "Eva", "3", "")
+    bad = rows["z.pdf"]
+    assert (bad["text_content"], bad["content_type"], bad["parse_error"]) == ("", "application/pdf", "ValueError: no such page")
+    assert pdf["parse_error"] is None and rows["a.txt"]["parse_error"] is None
+    plan = plan_of(extract_documents(scan_files(spark, folder), factory))
+    assert plan.count("FileScan binaryFile") == 1
+
+
+def test_files_of_any_encoding(spark, tmp_path):
+    text = "informação é útil"
+    for name, coding in (("a", "utf-8"), ("b", "latin-1"), ("c", "utf-16"), ("d", "utf-8-sig")):
+        (tmp_path / f"{name}.txt").write_bytes(text.encode(coding))
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "a.txt").write_bytes(b"\xff\xfe\xfd")
+    rows = {r["file_name"]: r["text_content"] for r in extract_documents(scan_files(spark, str(tmp_path), recursive=True)).collect()}
+    assert {rows[f"{n}.txt"] for n in "abcd"} == {text} and rows["x/a.txt"] == "ÿþý"
+
+
+def test_meta_attributes_in_any_order(values):
+    page = """<meta content="D'Angelo" name='author'><META  name=date content=2024-01-02>
+        <meta name="author" content='a "b" > c' /><meta name="keywords" content="x">"""
+    found = values(html.html_metadata, [page, "<meta name='author' content='" + "a" * 50000 + "'>"])
+    assert found[0]["dc:creator"] == ["D'Angelo", 'a "b" > c'] and found[0]["dcterms:created"] == ["2024-01-02"]
+    assert len(found[1]["dc:creator"][0]) == 50000
 
 
 def test_entities(values):
-    given = ["caf&#233; &#xE9;&#x1F600;", "&amp;lt;", "&#bad; &# x", None, "a;b&#65;c;d"]
-    assert values(html.unescape, given) == ["café é😀", "&lt;", "&#bad; &# x", None, "a;bAc;d"]
+    given = ["caf&#233; &#xE9;&#x1F600;", "&amp;lt;", "&#bad; &# x", None, "a;b&#65;c;d",
+             "informa&ccedil;&atilde;o &euro;&#0000233;&#x0000E9;", "&nosuch; & &;", "&#0;&#xD800;&#99999999999;"]
+    assert values(html.unescape, given) == ["café é😀", "&lt;", "&#bad; &# x", None, "a;bAc;d",
+                                            "informação €éé", "&nosuch; & &;", "\ufffd" * 3]
 
 
 def test_metadata(values):
@@ -120,6 +155,31 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     assert rejected_messages(batch).count() == 2
 
 
+def test_later_messages_of_a_key_win_and_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    lexicon = {f"t{i}": [f"word{i}"] for i in range(10)}
+    lines = [message(f"k{k}", f"word{i}") for i in range(10) for k in range(30)]
+    (tmp_path / "1.txt").write_text("\n".join(lines))
+    keyed = KeyedTable(spark, scratch_path(spark, "live"), "file_name", STREAM_SCHEMA)
+    raw = stream_source(spark, "text", path=str(tmp_path))
+    now = F.lit("2025-01-01 00:00:00").cast("timestamp")
+    for checkpoint in (scratch_path(spark, "one"), scratch_path(spark, "two")):
+        classify_stream(raw, keyed, checkpoint, None, lexicon=lexicon, now=now).awaitTermination()
+        assert {r["topic"] for r in keyed.latest().collect()} == {"t9"} and keyed.latest().count() == 30
+    assert keyed.batches().count() == 2
+
+
+def test_rules_come_before_the_models(spark):
+    texts = ["", "x" * 99, "y" * 100, None]
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "file_name string, text_clean string")
+    for name in ("content_type", "title", "author", "language", "num_pages"):
+        rows = rows.withColumn(name, F.lit(""))
+    rows = rows.withColumns({"text_length": F.length("text_clean"), "ingested_at": F.current_timestamp(), "processed_at": F.current_timestamp()})
+    model = lambda: lambda values: [f"model {len(v)}" for v in values]
+    got = {r["file_name"]: (r["topic"], r["summary"]) for r in gold(rows, summary_model=model, topic_model=lambda: lambda values: ["economia" for _ in values]).collect()}
+    assert got["0"] == got["3"] == ("desconhecido", "")
+    assert got["1"][1] == "x" * 99 and got["2"][1] == "model 100"
+
+
 def test_stream_model_hook_and_kafka_options(spark):
     batch = spark.createDataFrame([(message("a", "Alpha"),)], "value string")
     got = stream_classify(batch, clean=False, classify=lambda text: F.upper(text)).first()
@@ -140,18 +200,6 @@ def test_embedding_is_unit_length_and_takes_models(spark):
     assert sorted(r["embedding"] for r in rows) == [[0.0, 0.0], [1.0, 0.0]]
 
 
-def test_term_weights_equal_with_and_without_broadcast(spark, monkeypatch):
-    from doclake.operators import joins
-
-    docs = spark.createDataFrame(
-        [(i, f"common w{i % 7} w{i % 3} common") for i in range(60)], "k int, text_clean string"
-    )
-    get = lambda: sorted(map(str, features.term_tf_idf(docs, "k").collect()))
-    small = get()
-    monkeypatch.setattr(joins, "fits_broadcast", lambda *a, **k: False)
-    assert get() == small and len(small) > 120
-
-
 def test_labels(values):
     labels = ["tecnologia", "economia", "unknown", None]
     assert values(training.encode_labels, labels) == [5, 0, 0, 0]
@@ -168,10 +216,14 @@ def test_training_learns_and_is_repeatable(spark):
     )
     data = training.training_set(silver, gold)
     model = training.train_topic_model(data, rounds=10)
-    assert training.training_accuracy(model, data) == 1.0
+    assert training.accuracy(model, data) == 1.0
     losses = training.loss_per_round(model)
     assert losses[-1] < losses[0]
     assert losses == training.loss_per_round(training.train_topic_model(data, rounds=10))
+    train, test = training.hold_out(data)
+    assert train.count() + test.count() == 80 and 5 < test.count() < 30
+    assert train.join(test, "file_name").count() == 0
+    assert training.accuracy(training.train_topic_model(train, rounds=10), test) == 1.0
     path = scratch_path(spark, "model")
     training.save_model(model, path)
     predicted = training.predict_topics(training.load_model(path), data)
@@ -200,41 +252,44 @@ def test_questions_to_answers(spark):
     assert told["answer"] == f"0.1 {len(first)}"
 
 
-def test_hits_join_the_same_with_and_without_broadcast(spark, monkeypatch):
-    docs = spark.createDataFrame([(f"d{i}", f"t{i}") for i in range(20)], "file_name string, text_clean string")
-    hits = spark.createDataFrame([(q, "d3" if q % 3 else f"d{q % 20}", 1) for q in range(90)], "question_id int, file_name string, rank int")
-    get = lambda: sorted(map(str, answers.with_texts(hits, docs).select("question_id", "file_name", "text_clean").collect()))
-    small = get()
-    monkeypatch.setattr(answers, "fits_broadcast", lambda *a: False)
-    assert get() == small and len(small) == 90
+def test_one_call_answers_questions(spark):
+    docs = features.embed_documents(
+        spark.createDataFrame([("x.pdf", "preço do imóvel"), ("y.pdf", "taxa de juros")], "file_name string, text_clean string")
+    )
+    asked = spark.createDataFrame([(1, "taxa de juros?")], "question_id int, question string")
+    client = lambda: lambda prompt, t: json.dumps({"response": prompt.split("\n[", 1)[1][:5]})
+    told = answers.answer_questions(docs, asked, {"ollama": client}, "ollama", k=1).first()
+    assert told["answer"] == "y.pdf"
 
 
 def test_csv(spark, tmp_path):
     (tmp_path / "t.csv").write_text('k,s,t\n007," say ""hi""\nthere ",2024-01-02 03:04:05\n008,x,never\n')
-    rows = scan_csv(spark, str(tmp_path / "t.csv"), "k string, s string, t string").orderBy("k").collect()
+    rows = scan_csv(spark, str(tmp_path / "t.csv"), "k string, s string, t string", True).orderBy("k").collect()
     assert rows[0]["k"] == "007" and rows[0]["s"] == ' say "hi"\nthere '
     written = ingest_tables(
-        spark, str(tmp_path), str(tmp_path / "wh"), "csv_db", {"t": ("t.csv", ("t", "absent"))}
+        spark, str(tmp_path), str(tmp_path / "wh"), "csv_db", {"t": "k string, s string, t string"},
+        {"t": ("t.csv", ("t", "absent"))}, multi_line=["t"],
     )
     stored = spark.table("csv_db.t").orderBy("k")
     assert written == {"t": 2} and dict(stored.dtypes)["t"] == "timestamp"
-    assert [r["s"] for r in stored.collect()] == ['say "hi"\nthere', "x"]
+    assert [(r["k"], r["s"]) for r in stored.collect()] == [("007", 'say "hi"\nthere'), ("008", "x")]
 
 
 def test_layers(spark, folder):
     lake = Lake(spark, scratch_path(spark, "lake"), folder, database="lake_test_db")
     assert run_layers(lake) == {"bronze": 3, "silver": 2, "gold": 2}
-    assert run_layers(lake, "gold") == {"gold": 2}
+    assert run_layers(lake, "gold", "run-b") == {"gold": 2} == run_layers(lake, "gold", "run-b")
+    assert lake.enriched().batches().count() == 2
     topics = {r["file_name"]: r["topic"] for r in lake.enriched().latest().collect()}
     assert topics == {"a.txt": "imóveis", "b.HTML": "inflação"}
     checks = run_marts(lake).collect()
     assert len(checks) == 7 and not any(r["failures"] for r in checks)
     assert spark.table("lake_test_db.mart_documents_by_topic").count() == 2
+    # a run over other files adds to the table
+    os.remove(f"{folder}/a.txt")
+    with open(f"{folder}/n.txt", "w") as file:
+        file.write("O mercado de imóveis cresce com o crédito, e os preços também sobem. " * 2)
+    run_layers(lake)
+    assert names(lake.enriched().latest()) == ["a.txt", "b.HTML", "n.txt"]
     with pytest.raises(ValueError, match="no layer"):
         run_layers(lake, "platinum")
-
-
-def test_large_inputs_are_not_spread(spark):
-    wide = spark.range(0, 100, 1, 16)
-    assert spread_small(wide) is wide
-    assert spread_small(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 4

@@ -41,9 +41,11 @@ def test_mart_keeps_documents_without_topic(enriched):
     assert rows["d"]["topic_total_docs"] is None and rows["d"]["topic_avg_pages"] is None
 
 
-def test_mart_does_not_shuffle_documents(enriched):
-    plan = plan_of(marts.mart_by_topic(marts.stg_normalise(enriched)))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+def test_small_statistics_are_broadcast_at_run_time(enriched):
+    mart = marts.mart_by_topic(marts.stg_normalise(enriched))
+    assert mart.count() == enriched.filter("file_name is not null").count()
+    mart.collect()
+    assert "BroadcastHashJoin" in plan_of(mart)
 
 
 def test_summary_length_counts_bytes(enriched):
@@ -82,3 +84,23 @@ def test_preview_takes_the_first_ten(spark):
     rows = got.collect()
     assert [r["file_name"] for r in rows] == [f"{i:02d}" for i in range(10)]
     assert {(r["text_len"], len(r["text_preview"])) for r in rows} == {(500, 200)}
+
+
+def test_rows_of_one_run_spread_over_all_sort_tasks(spark):
+    from doclake.plans import marts, reports
+
+    run = spark.range(0, 40000, 1, 4).select(
+        F.col("id").cast("string").alias("file_name"),
+        F.lit("t").alias("topic"),
+        F.lit("s").alias("summary"),
+        F.lit("2025-01-01 00:00:00").cast("timestamp").alias("enriched_at"),
+        F.lit(40000).alias("topic_total_docs"),
+        F.lit(1.0).alias("topic_avg_text_length"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for ordered in (reports.report_enriched(run), reports.report_topics(run), marts.newest_first(run)):
+            sizes = [len(p) for p in ordered.rdd.glom().collect()]
+            assert max(sizes) < 0.5 * sum(sizes)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

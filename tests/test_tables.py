@@ -50,6 +50,31 @@ def test_compacted_table_takes_later_batches(spark, keyed):
     assert ("x0", 7) in rows(compacted.latest())
 
 
+def test_compacted_table_survives_replays(spark, keyed):
+    batches = {n: spark.createDataFrame([("a", n), (f"x{n}", n)], SCHEMA) for n in range(3)}
+    for n, batch in batches.items():
+        keyed.upsert(batch, f"run-{n}", ["v"])
+    keyed.upsert(spark.createDataFrame([(None, 1)], SCHEMA), "bad", ["v"])
+    expected = rows(keyed.latest())
+    compacted = keyed.compact(scratch_path(spark, "compact"))
+    assert rows(compacted.rejects()) == [(None, 1)]
+    for n in (2, 0, 1, 2):
+        compacted.upsert(batches[n], f"run-{n}", ["v"])
+        assert rows(compacted.latest()) == expected
+    # another source may count from zero again
+    compacted.upsert(spark.createDataFrame([("a", 9)], SCHEMA), "stream-0", ["v"])
+    assert ("a", 9) in rows(compacted.latest()) and len(rows(compacted.latest())) == 4
+    again = compacted.compact(scratch_path(spark, "compact"))
+    again.upsert(batches[2], "run-2", ["v"])
+    assert ("a", 9) in rows(again.latest())
+
+
+def test_replay_without_rows_clears_the_batch(spark, keyed):
+    keyed.upsert(spark.createDataFrame([("a", 1), (None, 2)], SCHEMA), "b", ["v"])
+    keyed.upsert(spark.createDataFrame([], SCHEMA), "b", ["v"])
+    assert rows(keyed.latest()) == [] and rows(keyed.rejects()) == []
+
+
 def test_hot_key_keeps_one_row_per_task_before_the_shuffle(spark):
     df = spark.range(1000).select(F.concat(F.lit("hot"), F.col("id") % 1).alias("k"), F.col("id").cast("int").alias("v"))
     latest = tables.latest_by_key(df, "k", ["v"])

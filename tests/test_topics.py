@@ -27,20 +27,16 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("lookups", [10**9, -1])
-def test_summary_equals_brute_force_on_both_ways(values, monkeypatch, lookups):
-    monkeypatch.setattr(topics, "_LOOKUPS", lookups)
+def test_summary_equals_brute_force(values):
     assert values(topics.extractive_summary, TEXTS) == [brute_summary(t) for t in TEXTS]
 
 
-def test_summary_of_documents_equals_brute_force(spark, values, monkeypatch):
+def test_summary_of_documents_equals_brute_force(spark, values):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = [r["text"] for r in docs.collect()]
     texts = [re.sub(r"\s+", " ", t).strip() for t in texts]
     expected = [brute_summary(t) for t in texts]
     assert values(topics.extractive_summary, texts) == expected
-    monkeypatch.setattr(topics, "_LOOKUPS", -1)
-    assert values(topics.extractive_summary, texts) == expected
 
 
 def test_summary_rules(values):
