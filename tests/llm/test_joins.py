@@ -155,6 +155,18 @@ def test_long_paragraphs_are_cut_alike():
         assert text[start:end].encode().lower().split() == words
 
 
+def test_runs_of_repeated_paragraphs():
+    def runs(sizes, repeated):
+        return passages.repeated_runs([(0, 0, [b"w"] * n) for n in sizes], repeated, 30)
+
+    assert runs([20, 20, 9], {0: 1, 1: 1}) == [(0, 1, 40)]
+    assert runs([20, 9, 20], {0: 1, 2: 1}) == [(0, 0, 20), (2, 2, 20)]  # a changed one between
+    assert runs([20, 3, 20], {0: 1, 2: 1}) == [(0, 2, 43)]  # a short one between
+    assert runs([20, 9, 9, 20], {0: 1, 3: 1}) == []
+    assert runs([20, 20], {0: 1, 1: 2}) == []  # of two texts
+    assert runs([29], {0: 1}) == [] and runs([30], {0: 1}) == [(0, 0, 30)] and runs([], {}) == []
+
+
 def test_repeated_passages_go(spark):
     rng = random.Random(8)
     passage = prose(rng, 7)
@@ -163,7 +175,7 @@ def test_repeated_passages_go(spark):
     rows = [(i, f"{t}\n{short}\n{sentence(rng)}") for i, t in enumerate(clean)]
     holders = [(20 + i, f"{prose(rng, 3)} in the {passage} {prose(rng, 3)}") for i in range(4)]
     near = passage.split()
-    near[30] = "other"
+    near[30] = "other"  # in one sentence, which stays
     holders.append((30, f"{prose(rng, 3)} {' '.join(near)} {prose(rng, 3)}"))
     odd = [(40, None), (41, ""), (None, passage), (42, f"{passage}\n{passage}"), (42, f"{passage}\n{passage}")]
     table = clashing(spark, rows + holders + odd)
@@ -182,7 +194,7 @@ def test_repeated_passages_go(spark):
         for a, b in spans:
             kept, at = kept + old[at:a], b
         assert kept + old[at:] == got[i][0]["text"]
-    assert got[30][0]["n_words_removed"] >= 25
+    assert got[30][0]["n_words_removed"] >= 30 and "other" in got[30][0]["text"]
     assert got[40][0]["text"] is None and got[41][0]["text"] == "" and got[None][0]["text"] == passage
     assert len(got[42]) == 2 and all(r["repeats_of"] == [20] for r in got[42])
     assert passages.remove_repeated_passages(spark.createDataFrame([], "doc_id long, text string")).collect() == []
