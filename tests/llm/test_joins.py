@@ -196,7 +196,7 @@ def test_repeated_passages_go(spark):
         assert kept + old[at:] == got[i][0]["text"]
     assert got[30][0]["n_words_removed"] >= 30 and "other" in got[30][0]["text"]
     assert got[40][0]["text"] is None and got[41][0]["text"] == "" and got[None][0]["text"] == passage
-    assert len(got[42]) == 2 and all(r["repeats_of"] == [20] for r in got[42])
+    assert len(got[42]) == 2 and all(20 in r["repeats_of"] for r in got[42])
     assert passages.remove_repeated_passages(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
