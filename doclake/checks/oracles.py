@@ -446,6 +446,9 @@ def oracle_sql() -> dict[str, str]:
         "100.0::DOUBLE / nullif(length(text), 0) AS lost_percent, array_to_string(list_sort("
         f"list_filter({chars}, lambda c: strpos(cleaned, c) = 0)), '') AS removed "
         f"FROM (SELECT doc_id, text, {_clean('text')} AS cleaned FROM documents)",
+        "lost_characters": f"SELECT character, count(*) AS texts FROM (SELECT unnest(list_filter({chars}, "
+        f"lambda c: strpos(cleaned, c) = 0)) AS character FROM (SELECT text, {_clean('text')} AS cleaned "
+        "FROM documents)) GROUP BY character",
         "embedding_dims": "SELECT vec_id, len(embedding) AS dims FROM embeddings",
         "cosine_score": f"WITH {_means('label')}, {_mean_scores('AND v.label = m.label')} "
         "SELECT vec_id, label, score FROM mean_scores",

@@ -535,6 +535,13 @@ def clean_loss_profile(spark, sf_dir):
     )
 
 
+@query
+def lost_characters(spark, sf_dir):
+    """Over the whole of the corpus."""
+    docs = table(spark, sf_dir, "documents").withColumn("cleaned", txt.clean_text("text"))
+    return cleaning.lost_characters(docs, "text", "cleaned")
+
+
 @query
 def embedding_dims(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(

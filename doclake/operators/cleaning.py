@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from doclake.constants import MIN_CLEAN_CHARS, MIN_SUMMARY_BYTES
-from doclake.functions.text import clean_text, lower_trim
+from doclake.functions.text import clean_text, lower_trim, removed_characters
 
 
 def typed_clean(df: DataFrame, timestamp_cols: Iterable[str] = ()) -> DataFrame:
@@ -77,3 +77,13 @@ def filter_summary_length(
 
 def empty_text_rows(df: DataFrame, column: str = "text_content") -> DataFrame:
     return df.filter(F.col(column).isNull() | (F.length(column) == 0))
+
+
+def lost_characters(df: DataFrame, raw: str, cleaned: str) -> DataFrame:
+    """``character, texts``: every character that cleaning removes, and from how many texts.
+
+    The number of rows is bounded by the alphabet; counts are combined before
+    the shuffle.
+    """
+    lost = df.select(F.explode(removed_characters(raw, cleaned)).alias("character"))
+    return lost.groupBy("character").agg(F.count(F.lit(1)).alias("texts"))
