@@ -112,14 +112,20 @@ def disclosing_terms(
     met = cut_lineage(met.join(places, "entity"))
     words = docs.select(F.split(F.col(text), SPACE).alias("_words"))
     total = words.agg(F.coalesce(F.sum(F.size("_words")), F.lit(0)).alias("places"))
-    each = words.select(F.explode("_words").alias("_word")).select(term(F.col("_word")).alias("term"))
-    counted = near_keys(each, "term", met, "term").groupBy("term").agg(F.count(F.lit(1)).alias("term_places"))
+    # counted by hash and combined before the shuffle: a row per word and task at most
+    each = words.select(F.explode("_words").alias("_word")).select(F.xxhash64(term(F.col("_word"))).alias("_term"))
+    counted = each.groupBy("_term").agg(F.count(F.lit(1)).alias("term_places"))
     n = total.first()[0]
     # information of the word about the entity, as a share of the entity's own
     share = 1 + F.log(F.least(F.lit(1.0), F.col("both") / F.col("term_places"))) / F.log(
         F.lit(float(max(n, 1))) / F.col("entity_places")
     )
-    weighed = met.join(counted, "term").filter(F.col("entity_places") < n).select("term", share.alias("share"))
+    weighed = (
+        met.withColumn("_term", F.xxhash64("term"))
+        .join(counted, "_term")
+        .filter(F.col("entity_places") < n)
+        .select("term", share.alias("share"))
+    )
     return (
         weighed.groupBy("term")
         .agg(F.max("share").alias("disclosure"))
