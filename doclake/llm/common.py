@@ -172,6 +172,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     )
     if pairs.isEmpty():
         return pairs.select(F.col("u").alias("id"), F.col("v").alias("root"))
+    weight = _weigh(pairs)
     for _ in range(rounds):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
@@ -186,9 +187,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
             .filter("u > v")
             .distinct()
         )
-        found = cut_lineage(small)
-        before, pairs = pairs, found
-        if _same(before, pairs):
+        before, pairs = weight, cut_lineage(small)
+        weight = _weigh(pairs)
+        if weight == before:
             break
     else:
         raise RuntimeError("components did not settle")
@@ -198,13 +199,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     )
 
 
-def _same(a: DataFrame, b: DataFrame) -> bool:
-    def weigh(df: DataFrame):
-        mixed = F.xxhash64("u", "v")
-        return df.agg(
-            F.count(F.lit(1)),
-            F.bit_xor(mixed),
-            F.sum(F.pmod(mixed, F.lit(1 << 31))),
-        ).first()
-
-    return tuple(weigh(a)) == tuple(weigh(b))
+def _weigh(pairs: DataFrame) -> tuple:
+    """Number and checksums of the edges; equal edges weigh the same."""
+    mixed = F.xxhash64("u", "v")
+    return tuple(
+        pairs.agg(F.count(F.lit(1)), F.bit_xor(mixed), F.sum(F.pmod(mixed, F.lit(1 << 31)))).first()
+    )

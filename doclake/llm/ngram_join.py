@@ -7,13 +7,15 @@ first members in one global order of which partners must share one. The boundary
 between them is the size at which the expected work of both is least.
 
 Equal sets are one node. Members of one list are not paired with each other:
-each meets the list's first member and its neighbour, and only those that are
-still in different components afterwards meet all others of their list.
+each meets the list's first member and its neighbour in an order of chance. Where
+a list still holds several components, its members meet the one with most links,
+and only those that are still apart then meet all others of their list.
 """
 
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections.abc import Iterator
 from math import comb
 
@@ -27,9 +29,9 @@ from doclake.llm.common import ODD, components, mix, near_keys, slices, stored,
 WIDTH = 4
 PERCENT = 85
 LARGEST_BOUNDARY = 24  # sizes up to here are counted to choose the boundary
-FREQUENT = 1 << 16  # n-grams put last in the global order, at most
-CHUNK_TEXTS = 2_000  # texts over which a task counts n-grams to find frequent ones
-CHUNK_REPEATS = 4
+CELLS = 1 << 23  # counters over which n-grams are counted to find frequent ones
+CELL_BLOCK = 1 << 16
+ALWAYS_MEET = 8  # members of a list that meet in every list, the others in one of so many
 
 
 def least_overlap(n: int, m: int, percent: int = PERCENT) -> int:
@@ -81,30 +83,30 @@ def node_of(members: np.ndarray) -> int:
     return int(mix(np.array([total]))[0].astype(np.int64))
 
 
-def set_keys(members: np.ndarray, boundary: int, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The lists a set belongs to: subsets for light partners, prefix for heavy ones."""
+def cells(members: np.ndarray) -> np.ndarray:
+    return (members & np.uint64(CELLS - 1)).astype(np.int64)
+
+
+def set_keys(members: np.ndarray, boundary: int, late: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The lists a set belongs to: subsets for light partners, prefix for heavy ones.
+
+    ``late`` tells by cell which n-grams come last in the global order.
+    """
     n = len(members)
     out = []
     if n <= boundary:
         each = mix(members + ODD[2])
-        whole = each.sum(dtype=np.uint64)
+        whole = each.sum(dtype=np.uint64, keepdims=True)
         for size in subset_sizes(n, boundary, percent):
-            left_out = n - size
-            if left_out == 0:
-                sums = np.array([whole])
-            elif left_out == 1:
-                sums = whole - each
+            if size == n:
+                sums = whole
             else:
-                sums = np.array(
-                    [whole - each[list(c)].sum(dtype=np.uint64) for c in itertools.combinations(range(n), left_out)],
-                    dtype=np.uint64,
-                )
+                left_out = np.array(list(itertools.combinations(range(n), n - size)))
+                sums = whole - each[left_out].sum(axis=1, dtype=np.uint64)
             out.append(mix(mix(sums ^ ODD[3]) + np.uint64(size)))
         if partner_sizes(n, percent)[-1] <= boundary:
             return np.concatenate(out)
-    at = np.searchsorted(frequent, members)
-    late = frequent[np.minimum(at, len(frequent) - 1)] == members if len(frequent) else np.zeros(n, bool)
-    order = np.lexsort((members, late))
+    order = np.lexsort((members, late[cells(members)]))
     out.append(members[order[: prefix_length(n, percent)]])
     return np.concatenate(out)
 
@@ -135,34 +137,37 @@ def overlap(a: bytes, b: bytes) -> tuple[int, int]:
 def meetings(keyed: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Who meets whom in the lists: rows ``a, b``, and members of lists of three or more.
 
-    Each member of a list meets the first one and the one before it, by size. A
-    row with a key is a member that may still have to meet others of its list.
+    A list is in an order of chance of its own. Each member meets the first one
+    and the one before it; in long lists only some of a member's lists count,
+    which is enough, as members that are alike share many. A row with a key is a
+    member that may still have to meet others of its list.
     """
-    by_size = Window.partitionBy("key").orderBy("n", "node")
-    once = keyed.withColumn("_copy", F.lag("node").over(by_size)).filter(
-        F.col("_copy").isNull() | (F.col("_copy") != F.col("node"))
+    chance = Window.partitionBy("key").orderBy("_chance", "node")
+    once = (
+        keyed.withColumn("_chance", F.xxhash64("node", "key"))
+        .withColumn("_copy", F.lag("node").over(chance))
+        .filter(F.col("_copy").isNull() | (F.col("_copy") != F.col("node")))
     )
     seen = once.select(
         "key",
         "n",
         "node",
-        F.row_number().over(by_size).alias("place"),
-        F.first("node").over(by_size).alias("first"),
-        F.first("n").over(by_size).alias("first_n"),
-        F.lag("node").over(by_size).alias("prev"),
-        F.lag("n").over(by_size).alias("prev_n"),
-        F.lead("node", 1).over(by_size).alias("next"),
-        F.lead("node", 2).over(by_size).alias("second_next"),
+        F.row_number().over(chance).alias("place"),
+        F.first("node").over(chance).alias("first"),
+        F.first("n").over(chance).alias("first_n"),
+        F.lag("node").over(chance).alias("prev"),
+        F.lag("n").over(chance).alias("prev_n"),
+        F.lead("node", 1).over(chance).alias("next"),
+        F.lead("node", 2).over(chance).alias("second_next"),
     ).filter((F.col("place") > 1) | F.col("next").isNotNull())
-    # sizes ascend within a list
-    fits = lambda smaller: 100 * F.col(smaller) >= percent * F.col("n")
 
     def row(key: str, a: str, b: Column) -> Column:
         return F.struct(F.col(key).alias("key"), F.col(a).alias("a"), F.col("n").alias("n"), b.alias("b"))
 
     none = F.lit(None).cast("long")
-    star = F.when((F.col("place") > 1) & fits("first_n"), row("none", "first", F.col("node")))
-    chain = F.when((F.col("place") > 2) & fits("prev_n"), row("none", "prev", F.col("node")))
+    meets = (F.col("place") <= ALWAYS_MEET) | (F.col("key") % ALWAYS_MEET == 0)
+    star = F.when((F.col("place") > 1) & meets & sizes_fit("first_n", "n", percent), row("none", "first", F.col("node")))
+    chain = F.when((F.col("place") > 2) & meets & sizes_fit("prev_n", "n", percent), row("none", "prev", F.col("node")))
     more = (
         (F.col("place") > 2)
         | ((F.col("place") == 2) & F.col("next").isNotNull())
@@ -176,6 +181,10 @@ def meetings(keyed: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
+def sizes_fit(a: str, b: str, percent: int = PERCENT) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
 def link_groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT
 ) -> DataFrame:
@@ -195,50 +204,56 @@ def link_groups(
         return text_shingles(batch["_text"].to_pylist(), width)
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """n-grams that several texts of a chunk share, and the sizes of sets."""
-
-        def counted(chunk: dict[int, np.ndarray]) -> pa.RecordBatch:
-            grams, count = np.unique(np.concatenate(list(chunk.values())), return_counts=True)
-            many = count >= CHUNK_REPEATS
-            sizes, texts = np.unique(
-                np.minimum([len(c) for c in chunk.values()], LARGEST_BOUNDARY + 1), return_counts=True
-            )
-            shares = np.array([int((count.astype(np.int64) * (count - 1))[~many].sum()), int(count[~many].sum())])
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([grams[many].view(np.int64), sizes.astype(np.int64), [0, 1]])),
-                    pa.array(np.concatenate([np.zeros(many.sum()), np.ones(len(sizes)), [2, 2]]).astype(np.int32)),
-                    pa.array(np.concatenate([count[many], texts, shares]).astype(np.int64)),
-                ],
-                names=["value", "kind", "n"],
-            )
-
-        chunk: dict[int, np.ndarray] = {}
-        members = 0
+        """Counts of n-grams by cell, of each set that is new to the task, and of sizes."""
+        counters = np.zeros(CELLS, dtype=np.uint16)
+        sizes = np.zeros(LARGEST_BOUNDARY + 2, dtype=np.int64)
+        seen: set[int] = set()
         for batch in slices(batches, "_text"):
             for found in sets(batch):
-                if len(found):
-                    chunk.setdefault(node_of(found), found)
-                    members += len(found)
-            if len(chunk) >= CHUNK_TEXTS or members > 4_000_000:
-                yield counted(chunk)
-                chunk, members = {}, 0
-        if chunk:
-            yield counted(chunk)
-
-    surveyed = stored(
-        rows.mapInArrow(survey, "value long, kind int, n long").groupBy("kind", "value").agg(F.sum("n").alias("n")),
-        "survey",
-    )
-    # Any choice of n-grams gives a right order; the most frequent ones save most work.
-    late = (
-        surveyed.filter("kind = 0").orderBy(F.desc("n"), "value").limit(FREQUENT).select("value").toArrow()["value"]
-    )
-    frequent = np.sort(late.to_numpy().view(np.uint64))
-    sizes = {r["value"]: r["n"] for r in surveyed.filter("kind = 1").collect()}
-    shared = {r["value"]: r["n"] for r in surveyed.filter("kind = 2").collect()}
-    boundary = choose_boundary(sizes, shared.get(0, 0) / max(1, shared.get(1, 0)), percent)
-    order = docs.sparkSession.sparkContext.broadcast(frequent)
+                node = node_of(found)
+                if len(found) and node not in seen:
+                    seen.add(node)
+                    at = cells(found)
+                    counters[at] += counters[at] < np.iinfo(np.uint16).max
+                    sizes[min(len(found), LARGEST_BOUNDARY + 1)] += 1
+        parts = [zlib.compress(p.tobytes(), 1) for p in counters.reshape(-1, CELL_BLOCK) if p.any()]
+        used = np.nonzero(counters.reshape(-1, CELL_BLOCK).any(axis=1))[0].tolist()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used + [-1], pa.int32()), pa.array(parts + [sizes.tobytes()], pa.binary())],
+            names=["block", "counts"],
+        )
+
+    def add_up(table: pa.Table) -> pa.Table:
+        block = table["block"][0].as_py()
+        if block < 0:
+            total = sum(np.frombuffer(x, dtype=np.int64) for x in table["counts"].to_pylist())
+            return pa.table({"block": pa.array([block], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+        total = np.zeros(CELL_BLOCK, dtype=np.int64)
+        for packed in table["counts"].to_pylist():
+            total += np.frombuffer(zlib.decompress(packed), dtype=np.uint16)
+        packed = zlib.compress(np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32).tobytes(), 1)
+        return pa.table({"block": pa.array([block], pa.int32()), "counts": pa.array([packed], pa.binary())})
+
+    # at most CELLS counters reach the driver, however many texts there are
+    surveyed = {
+        r["block"]: bytes(r["counts"])
+        for r in rows.mapInArrow(survey, "block int, counts binary")
+        .groupBy("block")
+        .applyInArrow(add_up, "block int, counts binary")
+        .collect()
+    }
+    sizes = np.frombuffer(surveyed.pop(-1, b""), dtype=np.int64)
+    counts = np.zeros(CELLS, dtype=np.uint32)
+    for block, packed in surveyed.items():
+        part = np.frombuffer(zlib.decompress(packed), dtype=np.uint32)
+        counts[block * CELL_BLOCK : (block + 1) * CELL_BLOCK] = part
+    # Cells that hold more than chance would bring together have a frequent n-gram.
+    mean = counts.sum(dtype=np.float64) / CELLS
+    late = counts > mean + 6 * np.sqrt(mean) + 2
+    usual = counts[~late].astype(np.float64)
+    list_length = max(0.0, float((usual**2).sum() / max(1.0, usual.sum()) - 1 - mean))
+    boundary = choose_boundary({n: int(c) for n, c in enumerate(sizes) if n and c}, list_length, percent)
+    order = docs.sparkSession.sparkContext.broadcast(late)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
@@ -344,24 +359,47 @@ def link_groups(
     links = links.unionByName(own)
     roots = stored(components(links), "roots")
 
-    # Lists that still hold several components: their members meet all of the other ones.
+    # Lists that still hold several components.
     members = met.filter("key IS NOT NULL").select("key", F.col("a").alias("node"), "n").distinct()
-    rooted = members.join(roots.withColumnRenamed("id", "node"), "node", "left").select(
-        "key", "node", "n", F.coalesce("root", "node").alias("root")
-    )
-    open_keys = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
-    still = stored(rooted.join(open_keys.select("key"), "key"), "open")
-    other = still.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
-    left_over = (
-        still.join(other, "key")
-        .filter("root < other")
-        .filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-        .select(F.col("node").alias("a"), "b")
-        .distinct()
-    )
-    more = verified(stored(left_over, "second"), "second")
-    if not more.isEmpty():
-        roots = stored(components(links.unionByName(more)), "all-roots")
+
+    def open_lists(members: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+        rooted = members.join(roots.withColumnRenamed("id", "node"), "node", "left").select(
+            "key", "node", "n", F.coalesce("root", "node").alias("root")
+        )
+        several = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
+        return stored(rooted.join(several.select("key"), "key"), name)
+
+    still = open_lists(members, roots, "open")
+    if not still.isEmpty():
+        # the member with most links first: copies are often alike to it, if not to each other
+        ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
+        degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+        ranked = still.join(degree, "node", "left").groupBy("key").agg(
+            F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "node", "n", "root")).alias("top")
+        )
+        to_top = (
+            still.join(ranked.select("key", "top.node", "top.n", "top.root").toDF("key", "b", "m", "other"), "key")
+            .filter(F.col("root") != F.col("other"))
+            .filter(sizes_fit("n", "m", percent))
+            .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+            .distinct()
+        )
+        more = verified(stored(to_top, "second"), "second")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            roots = stored(components(links), "second-roots")
+            still = open_lists(still.select("key", "node", "n"), roots, "still-open")
+        other = still.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
+        left_over = (
+            still.join(other, "key")
+            .filter("root < other")
+            .filter(sizes_fit("n", "m", percent))
+            .select(F.col("node").alias("a"), "b")
+            .distinct()
+        )
+        more = verified(stored(left_over, "third"), "third")
+        if not more.isEmpty():
+            roots = stored(components(links.unionByName(more)), "all-roots")
 
     labelled = described.select("id", "n", "node").join(
         roots.withColumnRenamed("id", "node"), "node", "left"
