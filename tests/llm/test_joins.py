@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -209,6 +210,8 @@ def test_registered_queries(spark):
     expected = groups(sets)
     got = queries.op5_size_aware_join(spark, sf_dir).collect()
     assert {tuple(r) for r in got} == {(i, len(sets[i]), expected[i]) for i in sets} and len(got) == len(rows)
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    assert sorted(map(tuple, got)) == sorted(duckdb.sql(queries.oracle_sql()["op5_size_aware_join"]).fetchall())
     # no passage of 60 words is left in two texts, apart from those that repeat a word or two
     left = {r["doc_id"]: r["text"] for r in queries.op6_paragraph_bands(spark, sf_dir).collect()}
     assert len(left) == len(rows)
