@@ -27,8 +27,16 @@ LEXICON = {
 QUALITY = ("low", "high")
 
 
+# Tables with texts to work on, and what tells their rows apart.
+TEXTS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return scan_parquet(spark, f"{sf_dir}/{name}.parquet")
+    """A given table. A text table in a single file, which one task would read, is dealt out."""
+    df = scan_parquet(spark, f"{sf_dir}/{name}.parquet")
+    if name in TEXTS and len(df.inputFiles()) == 1:
+        return df.repartition(spark.sparkContext.defaultParallelism, *TEXTS[name])
+    return df
 
 
 def fixed_time(text: str = "2025-03-01 12:00:00") -> Column:
