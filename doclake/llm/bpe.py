@@ -15,25 +15,27 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from doclake.llm.common import one_thread, slices, tokenizer_path
+from doclake.llm.common import factorize, list_array, one_thread, slices, tokenizer_path
+from doclake.llm.packing import byte_letters
 
 VOCABULARY = "byte_bpe_50k.json"
-BLOCK_BYTES = 12_000_000
-BLOCK_ROWS = 20_000
+BLOCK_WORDS = 3_500_000
+BLOCK_TEXTS = 40_000
 
 # White space as the tokenizer's pattern has it (Unicode White_Space).
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Words such that the tokenizer splits at both ends of each, whatever follows:
-# a run of white space gives its last space to the word after it.
+# letters before a stop or white space; else all up to white space; a run of
+# white space gives its last space to the word after it.
 _WORDS = re.compile(
-    rf" ?[^{_SPACE}]+|[{_SPACE}](?=[^{_SPACE}])|[{_SPACE}]+(?= [^{_SPACE}])|[{_SPACE}]+[^{_SPACE}]+|[{_SPACE}]+"
+    rf" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!?{_SPACE}])| ?[^{_SPACE}]+|[{_SPACE}](?=[^{_SPACE}])"
+    rf"|[{_SPACE}]+(?= [^{_SPACE}])|[{_SPACE}]+[^{_SPACE}]+|[{_SPACE}]+"
 )
 
 
@@ -66,13 +68,8 @@ def special_pattern(tokenizer) -> re.Pattern | None:
 
 
 def piece_bytes(tokenizer) -> dict[int, bytes]:
-    """The bytes of each id, from the letters that stand for bytes in the vocabulary.
-
-    Printable bytes stand for themselves, the others for the letters from 256 on.
-    """
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+    """The bytes of each id, from the letters that stand for bytes in the vocabulary."""
+    byte = {letter: b for b, letter in byte_letters().items()}
     special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
     return {
         i: piece.encode() if piece in special else bytes(byte[c] for c in piece)
@@ -91,32 +88,52 @@ def _loaded(vocabulary: str | None) -> tuple:
     return _LOADED[path]
 
 
+def _id_type(pieces: dict[int, bytes]) -> str:
+    return "<u2" if len(pieces) <= 1 << 16 else "<u4"
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], special) -> Iterator[tuple]:
-    """(block id, check, keys, distinct words, positions by text) of blocks of bounded size."""
+    """(block, keys, words by how common they are, positions of all texts, words by text).
+
+    Blocks are of bounded size. Their number holds the task, the block's number
+    in it and a checksum of its words.
+    """
     part, number = TaskContext.get().partitionId(), 0
-    keys, positions, table, size = [], [], {}, 0
+    keys, sizes, positions, table = [], [], [], {}
 
     def block():
-        check = zlib.crc32("\0".join(table).encode("utf-8", "surrogatepass"))
-        return (part << 32) + number, check, keys, list(table), positions
+        code = np.concatenate(positions)
+        order = np.argsort(-np.bincount(code, minlength=len(table)), kind="stable")
+        rank = np.empty(len(order), dtype=np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        words = list(table)
+        check = zlib.crc32("\0".join(words).encode("utf-8", "surrogatepass"))
+        return (part << 44) + (number << 32) + check, keys, [words[i] for i in order], rank[code], sizes
 
     for batch in slices(batches, "_text", 2048):
-        if keys and (size >= BLOCK_BYTES or len(keys) >= BLOCK_ROWS):
+        if keys and (sum(sizes) >= BLOCK_WORDS or len(keys) >= BLOCK_TEXTS):
             yield block()
-            keys, positions, table, size, number = [], [], {}, 0, number + 1
+            keys, sizes, positions, table, number = [], [], [], {}, number + 1
         words = [split_words(t, special) for t in batch["_text"].to_pylist()]
-        flat = np.empty(sum(map(len, words)), dtype=object)
-        flat[:] = [w for ws in words for w in ws]
-        code, distinct = pd.factorize(flat)
-        places = np.array([table.setdefault(w, len(table)) for w in distinct], dtype=np.uint32)
-        cuts = np.cumsum([len(ws) for ws in words])[:-1]
-        positions += np.split(places[code] if len(code) else places, cuts)
+        code, distinct = factorize([w for ws in words for w in ws])
+        places = np.array([table.setdefault(w, len(table)) for w in distinct], dtype=np.int64)
+        positions.append(places[code] if len(code) else places)
+        sizes += map(len, words)
         keys += batch["_key"].to_pylist()
-        size += len(flat) * 6
     if keys:
         yield block()
 
 
+def pack_positions(code: np.ndarray) -> bytes:
+    """Positions byte by byte: the common words' high bytes are all alike."""
+    return zlib.compress(code.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpack_positions(packed: bytes) -> np.ndarray:
+    flat = np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(flat.T).view("<u4").ravel()
+
+
 def encode_decode(
     docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None, ids: bool = False
 ) -> DataFrame:
@@ -130,35 +147,39 @@ def encode_decode(
     arrow_key = to_arrow_type(rows.schema["_key"].dataType)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, check, _, distinct, _ in _blocks(batches, _loaded(vocabulary)[1]):
-            n = len(distinct)
+        for block, _, words, _, _ in _blocks(batches, _loaded(vocabulary)[1]):
+            # in the order of the words: neighbours are alike and take little room
+            order = sorted(range(len(words)), key=words.__getitem__)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(n, block)),
-                    pa.array(np.full(n, check)),
-                    pa.array(np.arange(n, dtype=np.int32)),
-                    pa.array(distinct, pa.string()),
+                    pa.array(np.full(len(words), block)),
+                    pa.array(order, pa.int32()),
+                    pa.array([words[i] for i in order], pa.string()),
                 ],
-                names=["block", "check", "place", "word"],
+                names=["block", "place", "word"],
             )
 
     def position(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, check, keys, distinct, texts in _blocks(batches, _loaded(vocabulary)[1]):
+        for block, keys, words, code, sizes in _blocks(batches, _loaded(vocabulary)[1]):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([block]),
-                    pa.array([check]),
-                    pa.array([len(distinct)], pa.int64()),
+                    pa.array([len(words)], pa.int64()),
                     pa.array([keys], pa.list_(arrow_key)),
-                    pa.array([[zlib.compress(t.tobytes(), 1) for t in texts]], pa.list_(pa.binary())),
+                    pa.array([sizes], pa.list_(pa.int32())),
+                    pa.array([pack_positions(code)], pa.binary()),
                 ],
-                names=["block", "check", "n_words", "keys", "texts"],
+                names=["block", "n_words", "keys", "sizes", "positions"],
             )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Equal words lie side by side here, so the last one is all there is to remember."""
-        tokenizer = _loaded(vocabulary)[0]
-        last, last_ids = None, []
+        """Equal words lie side by side here, so the last one is all there is to remember.
+
+        A row holds the words of one block: their places, and their ids in a row.
+        """
+        tokenizer, _, pieces = _loaded(vocabulary)
+        kind = _id_type(pieces)
+        last, last_ids = None, b""
         for batch in batches:
             words = batch["word"].to_pylist()
             fresh = [w for i, w in enumerate(words) if w != (words[i - 1] if i else last)]
@@ -166,37 +187,54 @@ def encode_decode(
             out = []
             for word in words:
                 if word != last:
-                    last, last_ids = word, next(found).ids
+                    last, last_ids = word, np.array(next(found).ids, dtype=kind).tobytes()
                 out.append(last_ids)
+            block, place = batch["block"].to_numpy(), batch["place"].to_numpy()
+            order = np.lexsort((place, block))
+            blocks, first = np.unique(block[order], return_index=True)
+            groups = np.split(order, first[1:])
+            width = np.dtype(kind).itemsize
             yield pa.RecordBatch.from_arrays(
-                [batch["block"], batch["check"], batch["place"], pa.array(out, pa.list_(pa.int32()))],
-                names=["block", "check", "place", "ids"],
+                [
+                    pa.array(blocks),
+                    list_array([place[g] for g in groups], pa.int32()),
+                    list_array([np.array([len(out[i]) // width for i in g], np.int32) for g in groups], pa.int32()),
+                    pa.array([b"".join([out[i] for i in g]) for g in groups], pa.binary()),
+                ],
+                names=["block", "places", "counts", "ids"],
             )
 
     def put_in(left: pa.Table, right: pa.Table) -> pa.Table:
         out, pieces = [], _loaded(vocabulary)[2]
+        flat = lambda name: left[name].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        places = flat("places") if left.num_rows else np.empty(0, np.int32)
         for block in right.to_batches():
-            for n, keys, texts in zip(*(block[c].to_pylist() for c in ("n_words", "keys", "texts"))):
-                if left.num_rows != n:
+            for row in block.to_pylist():
+                if len(places) != row["n_words"]:
                     raise RuntimeError("a block of texts was split differently the second time")
-                order = np.argsort(left["place"].to_numpy())
-                given = left.take(pa.array(order))
-                word_ids = given["ids"].to_pylist()
-                counts = np.array([len(x) for x in word_ids], dtype=np.int64)
-                joined = [",".join(map(str, x)) for x in word_ids]
-                decoded = [b"".join([pieces[i] for i in x]) for x in word_ids]
-                for one, packed in zip(keys, texts):
-                    at = np.frombuffer(zlib.decompress(packed), dtype=np.uint32)
-                    places = at.tolist()
-                    text_ids = ",".join([joined[p] for p in places])
-                    back = b"".join([decoded[p] for p in places]).decode("utf-8", "replace")
-                    row = (
+                counts = flat("counts").astype(np.int64) if len(places) else np.empty(0, np.int64)
+                given = np.frombuffer(b"".join(left["ids"].to_pylist()), dtype=_id_type(pieces))
+                begins = np.cumsum(counts) - counts
+                order = np.argsort(places)
+                counts, begins = counts[order], begins[order]
+                joined, decoded = [], []
+                for begin, count in zip(begins.tolist(), counts.tolist()):
+                    word = given[begin : begin + count].tolist()
+                    joined.append(",".join(map(str, word)))
+                    decoded.append(b"".join([pieces[i] for i in word]))
+                positions, at = unpack_positions(row["positions"]), 0
+                for one, size in zip(row["keys"], row["sizes"]):
+                    own = positions[at : at + size]
+                    where, at = own.tolist(), at + size
+                    text_ids = ",".join([joined[p] for p in where])
+                    back = b"".join([decoded[p] for p in where]).decode("utf-8", "replace")
+                    facts = (
                         one,
-                        int(counts[at].sum()),
+                        int(counts[own].sum()),
                         hashlib.sha256(text_ids.encode()).hexdigest(),
                         hashlib.sha256(back.encode()).hexdigest(),
                     )
-                    out.append(row + (([i for p in places for i in word_ids[p]], back) if ids else ()))
+                    out.append(facts + (([int(i) for i in text_ids.split(",") if i], back) if ids else ()))
         columns = list(zip(*out)) or [[] for _ in result.names]
         return pa.table([pa.array(c, t) for c, t in zip(columns, result.types)], names=result.names)
 
@@ -207,15 +245,14 @@ def encode_decode(
         kinds += [("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
     result = pa.schema(kinds)
 
-    words = rows.mapInArrow(split, "block long, check long, place int, word string")
+    words = rows.mapInArrow(split, "block long, place int, word string")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     encoded = (
         words.repartition(partitions, "word")
         .sortWithinPartitions("word")
-        .mapInArrow(encode, "block long, check long, place int, ids array<int>")
+        .mapInArrow(encode, "block long, places array<int>, counts array<int>, ids binary")
     )
     positions = rows.mapInArrow(
-        position, f"block long, check long, n_words long, keys array<{key_type}>, texts array<binary>"
+        position, f"block long, n_words long, keys array<{key_type}>, sizes array<int>, positions binary"
     )
-    block = ["block", "check"]
-    return encoded.groupBy(*block).cogroup(positions.groupBy(*block)).applyInArrow(put_in, schema)
+    return encoded.groupBy("block").cogroup(positions.groupBy("block")).applyInArrow(put_in, schema)
