@@ -29,7 +29,7 @@ from doclake.llm.common import ODD, components, mix, near_keys, slices, stored,
 WIDTH = 4
 PERCENT = 85
 LARGEST_BOUNDARY = 24  # sizes up to here are counted to choose the boundary
-CELLS = 1 << 23  # counters over which n-grams are counted to find frequent ones
+CELLS = 1 << 22  # counters over which n-grams are counted to find frequent ones
 CELL_BLOCK = 1 << 16
 ALWAYS_MEET = 8  # members of a list that meet in every list, the others in one of so many
 
@@ -243,15 +243,20 @@ def link_groups(
         .collect()
     }
     sizes = np.frombuffer(surveyed.pop(-1, b""), dtype=np.int64)
-    counts = np.zeros(CELLS, dtype=np.uint32)
-    for block, packed in surveyed.items():
-        part = np.frombuffer(zlib.decompress(packed), dtype=np.uint32)
-        counts[block * CELL_BLOCK : (block + 1) * CELL_BLOCK] = part
+    unpack = lambda x: np.frombuffer(zlib.decompress(x), dtype=np.uint32)
     # Cells that hold more than chance would bring together have a frequent n-gram.
-    mean = counts.sum(dtype=np.float64) / CELLS
-    late = counts > mean + 6 * np.sqrt(mean) + 2
-    usual = counts[~late].astype(np.float64)
-    list_length = max(0.0, float((usual**2).sum() / max(1.0, usual.sum()) - 1 - mean))
+    # A block at a time, so the driver holds little more than a flag for each cell.
+    mean = sum(int(unpack(x).sum(dtype=np.int64)) for x in surveyed.values()) / CELLS
+    late = np.zeros(CELLS, dtype=bool)
+    pairs = usual = 0.0
+    for block, packed in surveyed.items():
+        part = unpack(packed)
+        above = part > mean + 6 * np.sqrt(mean) + 2
+        late[block * CELL_BLOCK : (block + 1) * CELL_BLOCK] = above
+        rest = part[~above].astype(np.float64)
+        pairs += float(rest @ rest)
+        usual += float(rest.sum())
+    list_length = max(0.0, pairs / max(1.0, usual) - 1 - mean)
     boundary = choose_boundary({n: int(c) for n, c in enumerate(sizes) if n and c}, list_length, percent)
     order = docs.sparkSession.sparkContext.broadcast(late)
 

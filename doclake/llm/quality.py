@@ -92,8 +92,8 @@ def dual_coordinate_descent(
     One dual variable for each row, kept between 0 and its class's cost; the
     weights follow each change. Classes weigh alike however rare one is.
     """
-    values = [ratio[r] / np.sqrt(max(1, len(r))) for r in rows]
-    norms = np.array([v @ v for v in values]) + 1.0
+    values = [(ratio[r] / np.sqrt(max(1, len(r)))).astype(np.float32) for r in rows]
+    norms = np.array([float(v @ v) for v in values]) + 1.0
     sign = np.where(labels == 1, 1.0, -1.0)
     share = np.bincount(labels, minlength=2) / len(labels)
     bound = cost / (2 * np.maximum(share[labels], 1e-9))
@@ -200,7 +200,7 @@ def fit(
 
     sample = rows.select("_label", "_text").mapInArrow(featurise, "label int, found array<int>")
     table = sample.distinct().orderBy(F.xxhash64("found"), "label").toArrow()
-    found = [np.asarray(x.values, dtype=np.int64) for x in table["found"]]
+    found = [np.asarray(x.values, dtype=np.int32) for x in table["found"]]
     return fit_rows(found, table["label"].to_numpy(), bits)
 
 
