@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import itertools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
@@ -138,9 +138,8 @@ def meetings(keyed: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Who meets whom in the lists: rows ``a, b``, and members of lists of three or more.
 
     A list is in an order of chance of its own. Each member meets the first one
-    and the one before it; in long lists only some of a member's lists count,
-    which is enough, as members that are alike share many. A row with a key is a
-    member that may still have to meet others of its list.
+    and the one before it, in long lists only in some of its lists. A row with a key is a
+    member that may still have to meet others of its list: see `complete`.
     """
     chance = Window.partitionBy("key").orderBy("_chance", "node")
     once = (
@@ -185,6 +184,58 @@ def sizes_fit(a: str, b: str, percent: int = PERCENT) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def complete(
+    links: DataFrame, met: DataFrame, verified: Callable[[DataFrame, str], DataFrame], percent: int = PERCENT
+) -> DataFrame:
+    """``id, root`` by ``links`` and by all links between members of one list.
+
+    ``met`` is what `meetings` found, ``links`` those of its pairs that link;
+    ``verified`` tells by the pairs and a name which others do. Only members of
+    lists that still hold several components are compared.
+    """
+    roots = stored(components(links), "roots")
+    members = met.filter("key IS NOT NULL").select("key", F.col("a").alias("node"), "n").distinct()
+
+    def open_lists(members: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+        rooted = members.join(roots.withColumnRenamed("id", "node"), "node", "left").select(
+            "key", "node", "n", F.coalesce("root", "node").alias("root")
+        )
+        several = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
+        return stored(rooted.join(several.select("key"), "key"), name)
+
+    still = open_lists(members, roots, "open")
+    if still.isEmpty():
+        return roots
+    # the member with most links first: copies are often alike to it, if not to each other
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
+    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    ranked = still.join(degree, "node", "left").groupBy("key").agg(
+        F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "node", "n", "root")).alias("top")
+    )
+    to_top = (
+        still.join(ranked.select("key", "top.node", "top.n", "top.root").toDF("key", "b", "m", "other"), "key")
+        .filter(F.col("root") != F.col("other"))
+        .filter(sizes_fit("n", "m", percent))
+        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+        .distinct()
+    )
+    more = verified(stored(to_top, "second"), "second")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        roots = stored(components(links), "second-roots")
+        still = open_lists(still.select("key", "node", "n"), roots, "still-open")
+    other = still.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
+    left_over = (
+        still.join(other, "key")
+        .filter("root < other")
+        .filter(sizes_fit("n", "m", percent))
+        .select(F.col("node").alias("a"), "b")
+        .distinct()
+    )
+    more = verified(stored(left_over, "third"), "third")
+    return roots if more.isEmpty() else stored(components(links.unionByName(more)), "all-roots")
+
+
 def link_groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT
 ) -> DataFrame:
@@ -361,50 +412,7 @@ def link_groups(
     # One document may have several rows: its nodes are linked.
     several = nodes.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
     own = nodes.join(several.select("id", "a"), "id").select("a", F.col("node").alias("b")).filter("a <> b")
-    links = links.unionByName(own)
-    roots = stored(components(links), "roots")
-
-    # Lists that still hold several components.
-    members = met.filter("key IS NOT NULL").select("key", F.col("a").alias("node"), "n").distinct()
-
-    def open_lists(members: DataFrame, roots: DataFrame, name: str) -> DataFrame:
-        rooted = members.join(roots.withColumnRenamed("id", "node"), "node", "left").select(
-            "key", "node", "n", F.coalesce("root", "node").alias("root")
-        )
-        several = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
-        return stored(rooted.join(several.select("key"), "key"), name)
-
-    still = open_lists(members, roots, "open")
-    if not still.isEmpty():
-        # the member with most links first: copies are often alike to it, if not to each other
-        ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
-        degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-        ranked = still.join(degree, "node", "left").groupBy("key").agg(
-            F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "node", "n", "root")).alias("top")
-        )
-        to_top = (
-            still.join(ranked.select("key", "top.node", "top.n", "top.root").toDF("key", "b", "m", "other"), "key")
-            .filter(F.col("root") != F.col("other"))
-            .filter(sizes_fit("n", "m", percent))
-            .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-            .distinct()
-        )
-        more = verified(stored(to_top, "second"), "second")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = stored(components(links), "second-roots")
-            still = open_lists(still.select("key", "node", "n"), roots, "still-open")
-        other = still.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
-        left_over = (
-            still.join(other, "key")
-            .filter("root < other")
-            .filter(sizes_fit("n", "m", percent))
-            .select(F.col("node").alias("a"), "b")
-            .distinct()
-        )
-        more = verified(stored(left_over, "third"), "third")
-        if not more.isEmpty():
-            roots = stored(components(links.unionByName(more)), "all-roots")
+    roots = complete(links.unionByName(own), met, verified, percent)
 
     labelled = described.select("id", "n", "node").join(
         roots.withColumnRenamed("id", "node"), "node", "left"

@@ -144,6 +144,23 @@ def test_bands_are_tuned():
         assert 1 - (1 - (percent / 100) ** rows) ** bands >= 0.99
 
 
+@pytest.mark.parametrize("n", [100, 1000])
+def test_families_of_paragraphs_match_brute_force(spark, n):
+    # all hold one phrase, so that lists are long, and few are alike to those beside them
+    rng = random.Random(n)
+    phrase = " ".join(prose(rng, 4).replace(".", "").split()[:18])
+    bases = [[sentence(rng, 1).rstrip(".") for _ in range(12)] for _ in range(n // 4)]
+    texts = []
+    for i in range(n):
+        own = list(bases[i % len(bases)])
+        own[-1] = f"ending{i}"  # alike to its base's others: 25 of 27 shingles
+        texts.append(f"{phrase} {' '.join(own)}")
+    rows = list(enumerate(texts))
+    expected = groups(shingle_sets(rows, 5), 80)
+    got = passages.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["first"] for r in got} == {i: root for i, root in expected.items() if i != root}
+
+
 def test_long_paragraphs_are_cut_alike():
     rng = random.Random(3)
     shared = prose(rng, 20).replace(".", "")
