@@ -218,6 +218,23 @@ def test_repeated_passages_go(spark):
     assert passages.remove_repeated_passages(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_near_copies_of_whole_paragraphs_go(spark):
+    rng = random.Random(12)
+    words = prose(rng, 30).split()[:200]
+    near = list(words)
+    for k in (30, 80, 130, 180):
+        near[k] = "changed"  # a Jaccard similarity of 176 / 216
+    wrap = lambda ws: "\n".join(" ".join(ws[k : k + 11]) for k in range(0, len(ws), 11))
+    tops = [sentence(rng) for _ in range(4)]
+    rows = [(1, f"{tops[0]}\n\n{' '.join(words)}\n\nend"), (2, f"{tops[1]}\n\n{' '.join(near)}\n\nlast")]
+    lines = prose(rng, 30).split()[:200]
+    rows += [(3, f"{tops[2]}\n\n{wrap(lines)}\n\nend"), (4, f"{tops[3]}\n\n{wrap(lines[:96] + ['x'] + lines[97:])}\n\nlast")]
+    got = {r["doc_id"]: r for r in passages.remove_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i]["text"] for i in (1, 3)] == [rows[0][1], rows[2][1]]
+    assert [got[i]["text"] for i in (2, 4)] == [f"{tops[1]}\n\nlast", f"{tops[3]}\n\nlast"]
+    assert [got[i]["n_words_removed"] for i in (2, 4)] == [200, 200] and got[2]["repeats_of"] == [1]
+
+
 def test_registered_queries(spark):
     from doclake.llm import queries
 
