@@ -235,6 +235,20 @@ def test_near_copies_of_whole_paragraphs_go(spark):
     assert [got[i]["n_words_removed"] for i in (2, 4)] == [200, 200] and got[2]["repeats_of"] == [1]
 
 
+def test_runs_of_sentences_that_others_hold_singly_go(spark):
+    rng = random.Random(15)
+    shared = [sentence(rng, 9) for _ in range(5)]
+    rows = [(i, f"{prose(rng, 3)} {shared[i - 1]} {prose(rng, 3)}") for i in (1, 2, 3, 4)]
+    rows += [(i, f"{prose(rng, 3)} {' '.join(shared)} {prose(rng, 3)}") for i in (10, 20)]
+    got = {r["doc_id"]: r for r in passages.remove_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["text"] == text for i, text in rows[:5])
+    assert got[20]["text"] == rows[5][1].replace(" ".join(shared) + " ", "")
+    singly = {0: 1, 1: 2, 2: 3, 3: 4, 4: 10}
+    found = [(0, 0, [b"w"] * 9)] * 5
+    assert passages.repeated_runs(found, singly) == []
+    assert passages.repeated_runs(found, singly, beside={k: (k + 1, 10) for k in range(4)}) == [(0, 4, 45)]
+
+
 def test_registered_queries(spark):
     from doclake.llm import queries
 
