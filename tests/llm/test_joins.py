@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -235,6 +236,25 @@ def test_near_copies_of_whole_paragraphs_go(spark):
     assert [got[i]["n_words_removed"] for i in (2, 4)] == [200, 200] and got[2]["repeats_of"] == [1]
 
 
+def test_passages_of_over_fifty_words_go_wherever_they_are(spark):
+    rng = random.Random(21)
+    rows, expected = [], {}
+    for n in range(50, 61):
+        plain = prose(rng, 9).replace(".", "").split()[:n]  # without the marks of sentences
+        words = prose(rng, 9).split()[:n]
+        short = "\n".join(" ".join(plain[k : k + 3][::-1]) for k in range(0, n, 3))  # in lines of three words
+        for kind, passage in enumerate((" ".join(plain), " ".join(words), short)):
+            for copy in range(2):
+                i = 1000 * copy + 10 * n + kind
+                before, after = f"{sentence(rng)[:-1]} b{i}", f"a{i} {sentence(rng)}"
+                rows.append((i, f"{before} {passage} {after}"))
+                expected[i] = f"{before} {after}" if copy else rows[-1][1]
+    got = passages.remove_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # the word beside a passage may go with the piece that holds it, which is alike
+    plain = lambda t: re.sub(r" [ab]\d+\b", "", t)
+    assert {r["doc_id"]: plain(r["text"]) for r in got} == {i: plain(t) for i, t in expected.items()}
+
+
 def test_runs_of_sentences_that_others_hold_singly_go(spark):
     rng = random.Random(15)
     shared = [sentence(rng, 9) for _ in range(5)]
