@@ -71,6 +71,22 @@ def test_link_groups_match_brute_force(spark):
         assert (r["n_shingles"], r["component_id"]) == (len(sets[r["doc_id"]]), expected[r["doc_id"]])
 
 
+def test_near_copies_stage_links_five_words_at_80_percent(spark):
+    import corpus_pipeline
+
+    texts = []
+    for seed in range(3):
+        texts += family(30 + seed, 30, 120, 4) + family(40 + seed, 20, 14, 1)
+    words = prose(random.Random(50), 30).split()[:200]
+    block = [f"new{i}" for i in range(17)]  # 175 of 217 shingles shared at five words
+    texts += [" ".join(words), " ".join(words[:80] + block + words[97:])]
+    rows = list(enumerate(texts))
+    expected = groups(shingle_sets(rows, 5), 80)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_copies_stage(spark, docs, "").collect()}
+    assert kept == set(expected.values()) and len(texts) - 1 not in kept
+
+
 def test_link_groups_of_odd_rows(spark):
     text = prose(random.Random(2), 8)
     rows = [(5, text), (5, text), (3, text), (None, text), (None, None), (7, None), (8, "")]
