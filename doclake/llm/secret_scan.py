@@ -19,9 +19,9 @@ from doclake.llm import spans
 
 KINDS = ("assign", "access", "hex", "random")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-LEAST_LENGTH = 20  # of a token that is weighed
-LEAST_RATIO = 3.0  # nats for each pair of characters by which the random model must be better
-LEAST_KINDS = 8  # different characters; a ruled line is no secret
+LEAST_LENGTH = 12  # of a token that is weighed
+LEAST_RATIO = 10.0  # nats for the whole token by which the random model must be better
+LEAST_KINDS = 6  # different characters; a ruled line is no secret
 SAMPLE_TEXTS = 3_000  # texts with ordinary words to learn from, about
 UNIFORM_WEIGHT = 200.0  # of an even spread, in the random model
 
@@ -94,9 +94,12 @@ def fit(
     share = int(1_000_000 * min(1.0, sample_texts / max(1, n)))
     drawn = given.filter(F.pmod(F.xxhash64("_text"), F.lit(1_000_000)) < share).distinct()
     words = drawn.filter(F.size(base_spans(F.col("_text"))) == 0).select(
-        F.explode(F.split("_text", r"[^A-Za-z0-9_-]+")).alias("token")
+        F.xxhash64("_text").alias("_of"), F.explode(F.split("_text", r"[^A-Za-z0-9+/_=-]+")).alias("token")
     )
-    ordinary = pair_counts(words)
+    # what may be a secret itself counts only if it is in several texts
+    long = words.filter(F.length("token") >= LEAST_LENGTH).groupBy("token")
+    once = long.agg(F.min("_of").alias("x"), F.max("_of").alias("y")).filter("x = y")
+    ordinary = pair_counts(words.join(once.select("token"), "token", "left_anti"))
     first, second = log_model(random, UNIFORM_WEIGHT), log_model(ordinary, 1.0)
     return {pair: first[pair] - second[pair] for pair in first}
 
@@ -135,6 +138,6 @@ def find_secrets(
         long_tokens,
         lambda s: ~F.exists("secret_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
         & (F.size(F.array_distinct(F.split(s["value"], ""))) >= LEAST_KINDS)
-        & (log_ratio(s["value"], model) >= least_ratio * (F.length(s["value"]) - 1)),
+        & (log_ratio(s["value"], model) >= least_ratio),
     )
     return based.withColumn("secret_spans", F.array_sort(F.concat("secret_base", weighed)))

@@ -134,6 +134,22 @@ def test_random_strings(spark):
     assert abs(value - sum(model.get(p, 0) for p in zip(token, token[1:]) if p in model)) < 0.1
 
 
+def test_random_tokens_of_all_alphabets(spark):
+    rng = random.Random(11)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    model = secret_scan.fit(docs)
+    hexes = "0123456789ABCDEF"
+    alphabets = (hexes, hexes.lower(), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    planted = [
+        (1000 * a + n, f"see {''.join(rng.choice(letters) for _ in range(n))} there")
+        for a, letters in enumerate(alphabets) for n in (16, 20) for _ in range(100)
+    ]
+    found = {}
+    for r in secret_scan.find_secrets(spark.createDataFrame(planted, "doc_id long, text string"), model).collect():
+        found[r["doc_id"]] = found.get(r["doc_id"], 0) + bool(r["secret_spans"])
+    assert all(n >= 97 for n in found.values()), found
+
+
 def test_registered_queries(spark):
     from doclake.llm import queries
 
