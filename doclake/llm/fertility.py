@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from doclake.llm.language import _SCRIPT, _STARTS
 from doclake.llm.common import factorize, hash_words, slices, tokenizer_path
 from doclake.session import cut_lineage
 
@@ -25,8 +26,8 @@ VOCABULARY = "piece_bpe_32k.model"
 CACHED_WORDS = 250_000
 BAND = 6.0  # widths of the middle half on either side of the median
 LEAST_WIDTH = {"chars_per_token": 0.08, "byte_share": 0.01, "entropy_share": 0.03}
-LEAST_TOKENS = 200  # figures of shorter texts say little; no band rejects them
-LEAST_TEXTS = 20  # a language or script with fewer has no bands
+LEAST_TOKENS = 200  # of the texts that bands are learned from; for shorter ones bands are wider
+LEAST_TEXTS = 20  # a language with fewer has the bands of its script, then those of all texts
 METRICS = tuple(LEAST_WIDTH)
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -110,15 +111,26 @@ def token_figures(ids: np.ndarray, chars: int, is_byte: np.ndarray) -> tuple[int
     return n, chars / n, float(is_byte[ids].mean()), entropy / most
 
 
+def main_script(text: str | None) -> int | None:
+    """The number of the script of most letters."""
+    codes = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    letters, n = np.unique(codes, return_counts=True)
+    alpha = np.array([chr(c).isalpha() for c in letters], dtype=bool)
+    if not alpha.any():
+        return None
+    kinds = _SCRIPT[np.maximum(0, np.searchsorted(_STARTS, letters[alpha], side="right") - 1)]
+    return int(np.bincount(kinds, weights=n[alpha]).argmax())
+
+
 def measure(df: DataFrame, text: str = "text", vocabulary: str | None = None) -> DataFrame:
     """``df`` without the text, with the base counts, ``n_tokens`` and the three figures.
 
     Columns of these names are replaced.
     """
-    added = [*BASE, "n_tokens", *METRICS]
+    added = [*BASE, "n_tokens", *METRICS, "_script"]
     kept = [c for c in df.columns if c not in (text, *added)]
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in kept]
-    fields += [f"{c} long" for c in (*BASE, "n_tokens")] + [f"{c} double" for c in METRICS]
+    fields += [f"{c} long" for c in (*BASE, "n_tokens")] + [f"{c} double" for c in METRICS] + ["_script int"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = vocabulary or tokenizer_path(VOCABULARY)
@@ -143,6 +155,7 @@ def measure(df: DataFrame, text: str = "text", vocabulary: str | None = None) ->
             arrays = [pa.array(c, pa.int64()) for c in columns[:6]] + [
                 pa.array(c, pa.float64()) for c in columns[6:]
             ]
+            arrays.append(pa.array([main_script(t) for t in texts], pa.int32()))
             yield pa.RecordBatch.from_arrays([batch[c] for c in kept] + arrays, names=kept + added)
 
     return df.select(*kept, F.col(text).alias("_text")).mapInArrow(run, ", ".join(fields))
@@ -160,32 +173,40 @@ def judge(measured: DataFrame, group: str = "lang", band: float = BAND) -> DataF
     ``measured`` should be stored, since it is read for the bands and for the
     verdicts. Bands come from all texts of a group that pass the base rules and
     have ``LEAST_TOKENS`` tokens: median and quartiles, which Spark merges from
-    partial summaries of bounded size. Texts without a group form one.
+    partial summaries of bounded size. A group of fewer than ``LEAST_TEXTS`` of
+    them has the bands of the text's script, or else those of all texts. Bands of
+    texts with fewer tokens are wider by the root of how many they lack. Texts
+    without a group form one.
     """
     rows = measured.withColumn("base_failed", base_failed())
     counted = rows.filter(~F.col("base_failed") & (F.col("n_tokens") >= LEAST_TOKENS))
-    bands = counted.groupBy(group).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[
-            F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(f"_{m}")
-            for m in METRICS
-        ],
+
+    def bands(level: str, *by: str) -> DataFrame:
+        figures = [F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(m) for m in METRICS]
+        found = counted.groupBy(*[F.col(c).alias(f"_{level}_by") for c in by]).agg(
+            F.count(F.lit(1)).alias("_n"), *figures
+        )
+        found = found.filter(F.col("_n") >= LEAST_TEXTS)
+        return found.select(*[f"_{level}_by" for _ in by], F.struct(*METRICS).alias(f"_{level}"))
+
+    joined = (
+        rows.join(bands("own", group), F.col(group).eqNullSafe(F.col("_own_by")), "left")
+        .join(bands("script_band", "_script"), F.col("_script").eqNullSafe(F.col("_script_band_by")), "left")
+        .join(F.broadcast(bands("all")), F.lit(True), "left")
+        .withColumn("_bands", F.coalesce("_own", "_script_band", "_all"))
     )
-    bands = bands.filter(F.col("_n") >= LEAST_TEXTS).withColumnRenamed(group, "_group")
-    joined = rows.join(bands, F.col(group).eqNullSafe(F.col("_group")), "left")
+    wider = F.sqrt(F.greatest(F.lit(1.0), LEAST_TOKENS / F.greatest(F.lit(1), F.col("n_tokens"))))
     reasons = []
     for m in METRICS:
-        low, middle, high = (F.col(f"_{m}")[i] for i in range(3))
-        width = F.greatest(high - low, F.lit(LEAST_WIDTH[m])) * band
-        outside = F.col(f"_{m}").isNotNull() & (F.abs(F.col(m) - middle) > width)
+        low, middle, high = (F.col(f"_bands.{m}")[i] for i in range(3))
+        width = F.greatest(high - low, F.lit(LEAST_WIDTH[m])) * band * wider
+        outside = F.col("_bands").isNotNull() & (F.abs(F.col(m) - middle) > width)
         reasons.append(F.when(outside, F.lit(m)))
-    missed = F.when(
-        ~F.col("base_failed") & (F.col("n_tokens") >= LEAST_TOKENS), F.coalesce(*reasons)
-    )
+    missed = F.when(~F.col("base_failed") & (F.col("n_tokens") > 0), F.coalesce(*reasons))
     return (
         joined.withColumn("band_missed", missed)
         .withColumn("kept", ~F.col("base_failed") & F.col("band_missed").isNull())
-        .drop("_group", "_n", *[f"_{m}" for m in METRICS])
+        .drop("_own", "_own_by", "_script", "_script_band", "_script_band_by", "_all", "_bands")
     )
 
 

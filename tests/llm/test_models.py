@@ -95,6 +95,16 @@ def test_base_rules_and_bands(spark):
     assert fertility.quality_rules(table.limit(0)).collect() == []
 
 
+def test_short_texts_and_small_groups_are_judged(spark):
+    rng = random.Random(4)
+    rows = [(i, prose(rng, 40), "en") for i in range(40)] + [(100 + i, prose(rng, 3), "en") for i in range(20)]
+    bytes_only = " ".join("".join(chr(rng.randrange(0x13A0, 0x13F0)) for _ in range(3)) for _ in range(12))
+    rows += [(200, bytes_only, "en"), (201, bytes_only, "chr"), (202, prose(rng, 3), "la")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"]: r["kept"] for r in fertility.quality_rules(docs).collect()}
+    assert sorted(i for i, k in kept.items() if not k) == [200, 201]
+
+
 def test_base_counts_of_the_given_texts(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     rows = queries.op7_tokeniser_fertility(spark, "/root/testdata/sf0.001").collect()
