@@ -16,6 +16,7 @@ from doclake.session import cut_lineage, scratch_path
 SLICE_ROWS = 512
 SLICE_CHARS = 4_000_000
 KEY_BUCKETS = 1 << 18  # the bound of what `near_keys` broadcasts
+WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +136,14 @@ def crc_mod(column: str, divisor: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have, ``name`` where possible."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, which outlives executors."""
     path = scratch_path(df.sparkSession, name)
@@ -153,8 +162,9 @@ def near_keys(
     gives the other rows, none of which has a key in ``keys``.
     """
     number = lambda c: F.pmod(F.xxhash64(c), F.lit(KEY_BUCKETS)).cast("int")
-    used = keys.select(number(key).alias("_bucket")).distinct()
-    return df.withColumn("_bucket", number(column)).join(F.broadcast(used), "_bucket", how).drop("_bucket")
+    bucket = free_name(df, "_bucket")
+    used = keys.select(number(key).alias(bucket)).distinct()
+    return df.withColumn(bucket, number(column)).join(F.broadcast(used), bucket, how).drop(bucket)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:

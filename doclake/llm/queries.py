@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from doclake.llm import fertility, language, pii, quality, secret_scan, spans
 from doclake.llm.bpe import encode_decode
 from doclake.llm.common import crc_mod, documents
+from doclake.llm.mixing import mix_sources
 from doclake.llm.ngram_join import link_groups
 from doclake.llm.packing import pack, token_pieces
 from doclake.llm.passages import remove_repeated_passages
+from doclake.llm.spelling import count_words, group_variants
 from doclake.llm.topk import top_k
+from doclake.llm.whitening import whiten
 
 
 TOP_K_SQL = """
@@ -65,6 +68,45 @@ FROM reached LEFT JOIN sizes ON doc_id = id GROUP BY id
 """
 
 
+# A source stops at three times its size. In the order of size per weight those that
+# stop come first: the level is that of the first one that may stay below its limit.
+MIX_SQL = r"""
+WITH sized AS (
+    SELECT doc_id, text, source,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+    FROM documents
+), sources AS (
+    SELECT source, sum(size) AS source_size,
+        [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+    FROM sized GROUP BY source
+), ranked AS (
+    SELECT *, sum(source_size) OVER () AS words,
+        coalesce(sum(3 * source_size) OVER before, 0) AS stopped,
+        sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS open_weight
+    FROM sources
+    WINDOW before AS (ORDER BY source_size / weight, source NULLS LAST
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+    SELECT words - stopped AS free, open_weight AS open FROM ranked
+    WHERE weight * (words - stopped) <= 3 * source_size * open_weight
+    ORDER BY source_size / weight, source NULLS LAST LIMIT 1
+), targets AS (
+    SELECT source, source_size, CASE WHEN weight * free > 3 * source_size * open
+        THEN CAST(3 * source_size AS DOUBLE) ELSE CAST(weight * free AS DOUBLE) / greatest(open, 1) END AS target
+    FROM ranked, level
+), rates AS (
+    SELECT doc_id, text, size, source_size, target,
+        CASE WHEN source_size > 0 THEN least(target / source_size, 3.0) ELSE 0.0 END AS rate
+    FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+    CAST(size * (floor(rate) + CASE WHEN
+        CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 13) AS BIGINT)
+        / CAST(4503599627370496 AS DOUBLE) < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM rates
+"""
+
+
 def op1_information_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select(
@@ -130,6 +172,18 @@ def op10_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op11_contour_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_trie_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(count_words(documents(spark, sf_dir)))
+
+
+def op13_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_information_pii": op1_information_pii,
@@ -142,8 +196,15 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_naive_bayes_svm": op8_naive_bayes_svm,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_threshold_top_k": op10_threshold_top_k,
+        "op11_contour_whitening": op11_contour_whitening,
+        "op12_trie_variants": op12_trie_variants,
+        "op13_mix_sources": op13_mix_sources,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_size_aware_join": JOIN_SQL, "op10_threshold_top_k": TOP_K_SQL}
+    return {
+        "op5_size_aware_join": JOIN_SQL,
+        "op10_threshold_top_k": TOP_K_SQL,
+        "op13_mix_sources": MIX_SQL,
+    }
