@@ -384,6 +384,9 @@ def oracle_sql() -> dict[str, str]:
         "mart_rows": with_stats,
         "keyed_runs": "SELECT concat(source, '/', doc_id) AS file_name, lang, CASE WHEN doc_id % 5 = 0 "
         "THEN 4 WHEN doc_id % 7 = 0 THEN 3 WHEN doc_id % 3 <> 1 THEN 2 ELSE 1 END AS step FROM documents",
+        "keyed_replays": "SELECT CAST(doc_id AS VARCHAR) AS id, source, CASE WHEN doc_id % 9 = 0 THEN 5 "
+        "WHEN doc_id % 5 = 0 THEN 3 WHEN doc_id % 4 = 0 THEN 4 ELSE 6 END AS step FROM documents "
+        "WHERE doc_id % 9 = 0 OR doc_id % 5 = 0 OR doc_id % 4 = 0 OR doc_id % 3 <> 0",
         "train_topic_model": "SELECT CASE WHEN ('0x' || md5('42:' || doc_id)[:8])::BIGINT % 100 < 20 "
         "THEN 'test' ELSE 'train' END AS side, CASE WHEN quality = 1 THEN 'high' ELSE 'low' END AS topic, "
         "count(*) AS docs, true AS at_least_majority FROM documents JOIN labels USING (doc_id) GROUP BY ALL",

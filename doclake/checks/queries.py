@@ -202,6 +202,28 @@ def keyed_runs(spark, sf_dir):
     return compacted.latest()
 
 
+@query
+def keyed_replays(spark, sf_dir):
+    """Batches of similar names, one run again with other rows after a compaction, one in place."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), "doc_id", "source"
+    )
+    live = tables.KeyedTable(spark, scratch_path(spark, "live"), "id", "id string, source string, step int")
+
+    def step(condition, number):
+        return docs.filter(condition).select("id", "source", F.lit(number).alias("step"))
+
+    live.upsert(step("true", 1), "run:1")
+    live.upsert(step("doc_id % 2 = 0", 2), "run_1")
+    live.upsert(step("doc_id % 5 = 0", 3), "compacted")
+    moved = live.compact(scratch_path(spark, "moved"))
+    moved.upsert(step("doc_id % 4 = 0", 4), "run_1")
+    moved.upsert(step("doc_id % 9 = 0", 5), "later")
+    moved.compact()
+    moved.upsert(step("doc_id % 3 <> 0", 6), "run:1")
+    return moved.latest()
+
+
 @query
 def view_staging(spark, sf_dir):
     return _times_as_text(

@@ -148,7 +148,7 @@ def _run_gold(lake: Lake, batch_id: str) -> int:
     table = lake.enriched()
     enriched = gold(features, lake.lexicon, lake.summary_model, lake.topic_model, lake.now)
     table.upsert(enriched, batch_id, ["enriched_at"])
-    return table.log().filter(F.col("batch_id") == batch_id).count()
+    return table.written(batch_id)
 
 
 LAYERS: dict[str, Callable[[Lake, str], int]] = {
