@@ -410,6 +410,9 @@ def oracle_sql() -> dict[str, str]:
         "topk_similar": f"WITH {_means('label')}, {_mean_scores('')} SELECT label AS question_id, "
         "vec_id, score, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id)::INTEGER "
         "AS rank FROM mean_scores QUALIFY rank <= 3",
+        "topk_index": f"WITH {_means('label')}, {_mean_scores('')} SELECT label AS question_id, "
+        "vec_id, score, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id)::INTEGER "
+        "AS rank FROM mean_scores QUALIFY rank <= 3",
         "mart_summaries": f"WITH {_STAGING} SELECT file_name, document_title, document_author, topic, "
         f"language, summary, text_length, num_pages, {_times('enriched_at')} FROM staging "
         "WHERE summary IS NOT NULL AND octet_length(encode(summary)) > 20 ORDER BY enriched_at DESC",

@@ -18,10 +18,12 @@ from doclake.functions.metadata import first_value_or_empty, meta_fallback
 from doclake.functions.topics import classify_topic, summarise
 from doclake.operators import answers, cleaning, features, quality, similarity, tables, training
 from doclake.operators.extract import extract_documents, extract_pages
+from doclake.operators.vector_index import VectorIndex
 from doclake.plans import layers, marts, reports
 from doclake.plans.ingest import ingest_tables
 from doclake.session import cut_lineage, scratch_path
 from doclake.sources import from_rows, scan_catalog, scan_csv, scan_files, scan_parquet, stream_source
+from doclake.streaming.intake import Intake
 from doclake.streaming import stream_classify, stream_run, stream_upsert
 
 QUERIES = {}
@@ -65,6 +67,35 @@ def scan_files_(spark, sf_dir):
     )
 
 
+@query
+def intake_runs(spark, sf_dir):
+    """All documents, then one more of each source and another text for one of each, then nothing new."""
+    folder = scratch_path(spark, "incoming")
+    docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL")
+    by_source = docs.select("source", F.concat(F.col("doc_id"), F.lit("\n"), "text").alias("text"))
+
+    def put(rows, mode):
+        (
+            rows.repartition("source").write.mode(mode).partitionBy("source")
+            .option("lineSep", "\x00").text(folder)
+        )
+
+    put(by_source, "append")
+    intake = Intake(spark, folder, scratch_path(spark, "intake"), recursive=True, now=inputs.fixed_time())
+    runs = [intake.run()]
+    put(docs.groupBy("source").agg(F.count(F.lit(1)).cast("string").alias("text")), "append")
+    runs.append(intake.run())
+    runs.append(intake.run())
+    source = F.regexp_extract("file_name", "source=([^/]+)/", 1)
+    taken = intake.table.latest().select(source.alias("source"), "bytes", F.length("text_content").alias("chars"))
+    return taken.groupBy("source").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("chars").alias("chars")
+    ).select(
+        "source", "files", "bytes", "chars",
+        *[F.lit(r[name]).cast("bigint").alias(f"{name}_{i}") for i, r in enumerate(runs) for name in ("new", "changed")],
+    )
+
+
 @query
 def scan_parquet_(spark, sf_dir):
     return scan_parquet(spark, f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source", "n_chars")
@@ -387,6 +418,13 @@ def topk_similar(spark, sf_dir):
     )
 
 
+@query
+def topk_index(spark, sf_dir):
+    """The same result as ``topk_similar``, out of a stored index."""
+    index = VectorIndex.build(table(spark, sf_dir, "embeddings"), scratch_path(spark, "index"), "vec_id")
+    return index.search(inputs.centroids(spark, sf_dir))
+
+
 @query
 def mart_summaries(spark, sf_dir):
     return _times_as_text(

@@ -19,6 +19,7 @@ from doclake.constants import (
 from doclake.functions.messages import parse_reply
 from doclake.operators.features import embed_query
 from doclake.operators.similarity import topk_similar
+from doclake.operators.vector_index import VectorIndex
 
 # A factory opens a provider's client and returns a function
 # (prompt, temperature) -> raw JSON reply.
@@ -26,7 +27,7 @@ ClientFactory = Callable[[], Callable[[str, float], str]]
 
 
 def retrieve(
-    documents: DataFrame,
+    documents: DataFrame | VectorIndex,
     questions: DataFrame,
     k: int = DEFAULT_TOP_K,
     question: str = "question",
@@ -36,10 +37,12 @@ def retrieve(
 ) -> DataFrame:
     """The best ``k`` documents for each question text.
 
-    ``documents`` hold ``embedding``; ``embedding`` options go to the encoder,
-    which must be the one the documents were encoded with.
+    ``documents`` hold ``embedding``, or are a stored index of them; ``embedding``
+    options go to the encoder, which must be the one the documents were encoded with.
     """
     asked = embed_query(questions, question, target="embedding", **embedding)
+    if isinstance(documents, VectorIndex):
+        return documents.search(asked, k, question_key)
     return topk_similar(documents, asked, k, doc_key, question_key)
 
 

@@ -27,7 +27,7 @@ MAX_SCORES = 4_000_000
 SCORE_DIGITS = 6
 
 
-def _matrix(vectors: pa.Array, dims: int) -> np.ndarray:
+def matrix(vectors: pa.Array, dims: int) -> np.ndarray:
     """An ``n x dims`` matrix from a list column; mixed widths are an error."""
     lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
     if len(lengths) and (lengths != dims).any():
@@ -45,7 +45,7 @@ def _cosines(documents: np.ndarray, questions: np.ndarray) -> np.ndarray:
     return np.where(np.isfinite(scores), scores, -np.inf)
 
 
-class _Best:
+class Best:
     """The best ``k`` documents per question seen by one task."""
 
     def __init__(self, questions: np.ndarray, k: int):
@@ -54,18 +54,20 @@ class _Best:
         self.kept: list[list[tuple]] = [[] for _ in range(len(questions))]
         self.floor = np.full(len(questions), -np.inf)
 
-    def add(self, keys: list, documents: np.ndarray) -> None:
+    def add(self, keys: list, documents: np.ndarray, asked: np.ndarray | None = None) -> None:
+        """Score documents for all questions, or those with the numbers ``asked``."""
         step = max(1, MAX_SCORES // max(1, len(keys)))
-        for start in range(0, len(self.questions), step):
-            scores = _cosines(documents, self.questions[start : start + step])
-            floor = self.floor[start : start + scores.shape[1]]
+        asked = np.arange(len(self.questions)) if asked is None else asked
+        for part in (asked[i : i + step] for i in range(0, len(asked), step)):
+            scores = _cosines(documents, self.questions[part])
+            floor = self.floor[part]
             if len(keys) > self.k:
                 place = len(keys) - self.k
                 floor = np.maximum(floor, np.partition(scores, place, axis=0)[place])
             rows, numbers = np.nonzero((scores >= floor) & (scores > -np.inf))
             found: dict[int, list[tuple]] = {}
             for row, number in zip(rows.tolist(), numbers.tolist()):
-                found.setdefault(start + number, []).append((-scores[row, number], keys[row]))
+                found.setdefault(int(part[number]), []).append((-scores[row, number], keys[row]))
             for number, more in found.items():
                 kept = self.kept[number] = heapq.nsmallest(self.k, self.kept[number] + more)
                 if len(kept) == self.k:
@@ -81,10 +83,14 @@ def _vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
     return df.select(key, vector).filter(F.col(vector).isNotNull())
 
 
-def _question_blocks(
+def question_blocks(
     questions: DataFrame, key: str, vector: str
 ) -> Iterator[tuple[list, np.ndarray]]:
-    """Keys and matrix of each block; blocks are weighed with their keys beforehand."""
+    """Keys and matrix of each block. Questions are stored, so that they are made only once, and
+    weighed with their keys before any is fetched."""
+    path = scratch_path(questions.sparkSession, "questions")
+    _vectors(questions, key, vector).write.parquet(path)
+    questions = questions.sparkSession.read.parquet(path)
     size = F.octet_length(F.col(key).cast("string")) + 64 + 8 * F.size(vector)
     weight, widest, narrowest = questions.agg(
         F.sum(F.coalesce(size, F.lit(64))), F.max(F.size(vector)), F.min(F.size(vector))
@@ -96,7 +102,7 @@ def _question_blocks(
     for block in range(blocks):
         table = questions.filter(number == block).orderBy(key).toArrow()
         if table.num_rows:
-            yield table.column(0).to_pylist(), _matrix(table.column(1).combine_chunks(), widest)
+            yield table.column(0).to_pylist(), matrix(table.column(1).combine_chunks(), widest)
 
 
 def _in_turn(
@@ -109,8 +115,8 @@ def _in_turn(
     spark = documents.sparkSession
     path = scratch_path(spark, "scores")
     spark.createDataFrame([], result).write.parquet(path)
-    for names, matrix in blocks:
-        documents.mapInArrow(score(names, matrix), result).write.mode("append").parquet(path)
+    for names, block in blocks:
+        documents.mapInArrow(score(names, block), result).write.mode("append").parquet(path)
     return spark.read.schema(result).parquet(path)
 
 
@@ -124,7 +130,7 @@ def _result_schema(documents: DataFrame, questions: DataFrame, doc_key: str, que
     )
 
 
-def _to_batches(rows, schema: pa.Schema, size: int = 10_000):
+def to_batches(rows, schema: pa.Schema, size: int = 10_000):
     chunk: list[tuple] = []
 
     def batch():
@@ -141,7 +147,7 @@ def _to_batches(rows, schema: pa.Schema, size: int = 10_000):
     yield batch()
 
 
-def _arrow_schema(result: StructType) -> pa.Schema:
+def arrow_schema(result: StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(result)
@@ -152,18 +158,18 @@ def _local_best(documents, questions, doc_key, question_key, vector, k) -> DataF
     documents = _vectors(documents, doc_key, vector)
     questions = _vectors(questions, question_key, vector)
     result = _result_schema(documents, questions, doc_key, question_key)
-    schema = _arrow_schema(result)
+    schema = arrow_schema(result)
 
-    def score(question_keys: list, matrix: np.ndarray):
+    def score(question_keys: list, asked: np.ndarray):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best = _Best(matrix, k)
+            best = Best(asked, k)
             for batch in batches:
-                best.add(batch.column(0).to_pylist(), _matrix(batch.column(1), matrix.shape[1]))
-            yield from _to_batches(best.rows(question_keys), schema)
+                best.add(batch.column(0).to_pylist(), matrix(batch.column(1), asked.shape[1]))
+            yield from to_batches(best.rows(question_keys), schema)
 
         return run
 
-    return _in_turn(documents, _question_blocks(questions, question_key, vector), score, result)
+    return _in_turn(documents, question_blocks(questions, question_key, vector), score, result)
 
 
 def score_documents(
@@ -182,15 +188,15 @@ def score_documents(
     documents = _vectors(documents, doc_key, vector)
     questions = _vectors(questions, question_key, vector)
     result = _result_schema(documents, questions, doc_key, question_key)
-    schema = _arrow_schema(result)
+    schema = arrow_schema(result)
 
-    def score(question_keys: list, matrix: np.ndarray):
+    def score(question_keys: list, asked: np.ndarray):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                vectors = _matrix(batch.column(1), matrix.shape[1])
+                vectors = matrix(batch.column(1), asked.shape[1])
                 keys = batch.column(0).cast(schema.field(1).type)
                 for number, question in enumerate(question_keys):
-                    scores = _cosines(vectors, matrix[number : number + 1])[:, 0]
+                    scores = _cosines(vectors, asked[number : number + 1])[:, 0]
                     rows = np.nonzero(scores >= least_score)[0]
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -203,7 +209,7 @@ def score_documents(
 
         return run
 
-    return _in_turn(documents, _question_blocks(questions, question_key, vector), score, result)
+    return _in_turn(documents, question_blocks(questions, question_key, vector), score, result)
 
 
 def topk_similar(
@@ -244,13 +250,13 @@ def classify_by_prototype(
             StructField("score", DoubleType()),
         ]
     )
-    schema = _arrow_schema(result)
+    schema = arrow_schema(result)
 
-    def score(names: list, matrix: np.ndarray):
+    def score(names: list, asked: np.ndarray):
         def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             step = max(1, MAX_SCORES // len(names))
             for part in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
-                scores = _cosines(_matrix(part.column(1), matrix.shape[1]), matrix)
+                scores = _cosines(matrix(part.column(1), asked.shape[1]), asked)
                 place = scores.argmax(axis=1)
                 best = scores[np.arange(len(place)), place]
                 found = pa.RecordBatch.from_arrays(
@@ -265,7 +271,7 @@ def classify_by_prototype(
 
         return nearest
 
-    found = _in_turn(docs, _question_blocks(labels, label_key, vector), score, result)
+    found = _in_turn(docs, question_blocks(labels, label_key, vector), score, result)
     # each block of prototypes has named its own best
     best = F.min(F.struct((-F.col("score")).alias("rank"), label_key))
     return found.groupBy(doc_key).agg(best.alias("_best")).select(
