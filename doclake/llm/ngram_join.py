@@ -6,22 +6,23 @@ subset. Heavy sets are large: each scans the inverted lists of its prefix, the
 first members in one global order of which partners must share one. The boundary
 between them is the size at which the expected work of both is least.
 
-Equal sets are one node. Members of one list are not paired with each other:
-each meets the list's first member and its neighbour in an order of chance. Where
-a list still holds several components, its members meet the one with most links,
-and only those that are still apart then meet all others of their list.
+Equal sets are one node. Members of one list are not paired with each other: each
+meets the list's leader. Where a list still holds several components, one member
+of each meets another leader, round by round, and only those that are still apart
+then meet all others of their list.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 import zlib
 from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from doclake.llm.common import ODD, components, mix, near_keys, slices, stored, text_shingles
@@ -31,7 +32,6 @@ PERCENT = 85
 LARGEST_BOUNDARY = 24  # sizes up to here are counted to choose the boundary
 CELLS = 1 << 22  # counters over which n-grams are counted to find frequent ones
 CELL_BLOCK = 1 << 16
-ALWAYS_MEET = 8  # members of a list that meet in every list, the others in one of so many
 
 
 def least_overlap(n: int, m: int, percent: int = PERCENT) -> int:
@@ -87,10 +87,13 @@ def cells(members: np.ndarray) -> np.ndarray:
     return (members & np.uint64(CELLS - 1)).astype(np.int64)
 
 
-def set_keys(members: np.ndarray, boundary: int, late: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The lists a set belongs to: subsets for light partners, prefix for heavy ones.
+def set_keys(
+    members: np.ndarray, boundary: int, late: np.ndarray, percent: int = PERCENT
+) -> tuple[np.ndarray, np.ndarray]:
+    """The lists a set belongs to: subsets for light partners, prefix for heavy ones; and the
+    place of each in the set's order.
 
-    ``late`` tells by cell which n-grams come last in the global order.
+    ``late`` is how frequent the n-grams of a cell are: the global order begins with the rarest.
     """
     n = len(members)
     out = []
@@ -105,10 +108,13 @@ def set_keys(members: np.ndarray, boundary: int, late: np.ndarray, percent: int
                 sums = whole - each[left_out].sum(axis=1, dtype=np.uint64)
             out.append(mix(mix(sums ^ ODD[3]) + np.uint64(size)))
         if partner_sizes(n, percent)[-1] <= boundary:
-            return np.concatenate(out)
+            keys = np.concatenate(out)
+            return keys, np.zeros(len(keys), dtype=np.int32)
+    subsets = sum(map(len, out))
     order = np.lexsort((members, late[cells(members)]))
     out.append(members[order[: prefix_length(n, percent)]])
-    return np.concatenate(out)
+    places = np.arange(len(out[-1]), dtype=np.int32)
+    return np.concatenate(out), np.concatenate([np.zeros(subsets, dtype=np.int32), places])
 
 
 def bitmap(members: np.ndarray) -> bytes:
@@ -134,106 +140,98 @@ def overlap(a: bytes, b: bytes) -> tuple[int, int]:
     return common, len(x) + len(y) - common
 
 
-def meetings(keyed: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Who meets whom in the lists: rows ``a, b``, and members of lists of three or more.
-
-    A list is in an order of chance of its own. Each member meets the first one
-    and the one before it, in long lists only in some of its lists. A row with a key is a
-    member that may still have to meet others of its list: see `complete`.
-    """
-    chance = Window.partitionBy("key").orderBy("_chance", "node")
-    once = (
-        keyed.withColumn("_chance", F.xxhash64("node", "key"))
-        .withColumn("_copy", F.lag("node").over(chance))
-        .filter(F.col("_copy").isNull() | (F.col("_copy") != F.col("node")))
-    )
-    seen = once.select(
-        "key",
-        "n",
-        "node",
-        F.row_number().over(chance).alias("place"),
-        F.first("node").over(chance).alias("first"),
-        F.first("n").over(chance).alias("first_n"),
-        F.lag("node").over(chance).alias("prev"),
-        F.lag("n").over(chance).alias("prev_n"),
-        F.lead("node", 1).over(chance).alias("next"),
-        F.lead("node", 2).over(chance).alias("second_next"),
-    ).filter((F.col("place") > 1) | F.col("next").isNotNull())
-
-    def row(key: str, a: str, b: Column) -> Column:
-        return F.struct(F.col(key).alias("key"), F.col(a).alias("a"), F.col("n").alias("n"), b.alias("b"))
-
-    none = F.lit(None).cast("long")
-    meets = (F.col("place") <= ALWAYS_MEET) | (F.col("key") % ALWAYS_MEET == 0)
-    star = F.when((F.col("place") > 1) & meets & sizes_fit("first_n", "n", percent), row("none", "first", F.col("node")))
-    chain = F.when((F.col("place") > 2) & meets & sizes_fit("prev_n", "n", percent), row("none", "prev", F.col("node")))
-    more = (
-        (F.col("place") > 2)
-        | ((F.col("place") == 2) & F.col("next").isNotNull())
-        | ((F.col("place") == 1) & F.col("second_next").isNotNull())
-    )
-    member = F.when(more, row("key", "node", none))
-    return (
-        seen.withColumn("none", none)
-        .select(F.explode(F.filter(F.array(star, chain, member), lambda x: x.isNotNull())).alias("x"))
-        .select("x.*")
-    )
+def linked_lists(
+    keyed: DataFrame,
+    verified: Callable[[DataFrame, str], DataFrame],
+    percent: int = PERCENT,
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """``id, root`` by all links between members of one list.
 
+    ``keyed`` are the lists, rows ``key, n, node, at``; ``at`` is the place of the key
+    in the set's own order (0 where it doesn't matter). ``verified`` tells by pairs
+    ``a, b`` and a name which of them link; ``known`` are more links.
 
-def sizes_fit(a: str, b: str, percent: int = PERCENT) -> Column:
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    All members of a list first meet its leader, the same for most lists of alike
+    sets. Where a list still holds several components, each sends one member to
+    meet another leader, round by round, as long as that links some; only what is
+    left meets all others of its list. No pair that links within a list but
+    across components is left out, and none is verified twice.
+    """
+    keyed = stored(keyed, "keyed")
+    chance = F.xxhash64("node")
+    lead = keyed.groupBy("key").agg(
+        F.min(F.struct(chance.alias("chance"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("at").alias("bt"))).alias("lead"),
+        F.max(F.struct(chance, "node")).alias("last"),
+    )
+    lead = lead.filter(F.col("lead.b") != F.col("last.node")).select("key", "lead")
+    lists = stored(keyed.join(lead, "key").select("key", "n", "node", "at", "lead.b", "lead.m", "lead.bt"), "lists")
+    tested = stored(_may_link(lists.filter(F.col("node") != F.col("b")), percent).distinct(), "pairs")
+    links = verified(tested, "first")
+    if known is not None:
+        links = links.unionByName(known)
+    roots = stored(components(links), "roots")
+    still = _open_lists(lists.select("key", "n", "node", "at").distinct(), roots, "open")
+    number = 0
+    while not still.isEmpty():
+        number += 1
+        order = F.xxhash64("node", F.lit(number))
+        member = F.struct(order.alias("chance"), "node", "n", "at")
+        sent = still
+        if number == 1:
+            # members with most links first: copies are often alike to one of them, if not to each other
+            ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
+            degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+            sent = still.join(degree, "node", "left")
+            member = F.struct((-F.coalesce("degree", F.lit(0))).alias("degree"), order.alias("chance"), "node", "n", "at")
+        sent = stored(sent.groupBy("key", "root").agg(F.min(member).alias("x")), f"sent-{number}")
+        leader = sent.groupBy("key").agg(F.min(F.struct("x", "root")).alias("y")).select(
+            "key", F.col("y.x.node").alias("b"), F.col("y.x.n").alias("m"), F.col("y.x.at").alias("bt"),
+            F.col("y.root").alias("other"),
+        )
+        met = sent.select("key", "root", "x.node", "x.n", "x.at").join(leader, "key").filter("root <> other")
+        fresh = stored(_may_link(met, percent).distinct().join(tested, ["a", "b"], "left_anti"), f"pairs-{number}")
+        more = verified(fresh, f"round-{number}")
+        if more.isEmpty():
+            tested = tested.unionByName(fresh)
+            break
+        tested, links = tested.unionByName(fresh), links.unionByName(more)
+        roots = stored(components(links), f"roots-{number}")
+        still = _open_lists(still.drop("root"), roots, f"open-{number}")
+    if still.isEmpty():
+        return roots
+    # sizes that may link are in one class or in neighbouring ones
+    size_class = F.floor(F.log("n") / math.log(100 / percent) + 1e-9)
+    left = still.withColumn("class", size_class)
+    right = left.select(
+        "key", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).alias("class"),
+        F.col("node").alias("b"), F.col("n").alias("m"), F.col("at").alias("bt"), F.col("root").alias("other"),
+    )
+    across = left.join(right, ["key", "class"]).filter("root < other")
+    rest = stored(_may_link(across, percent).distinct().join(tested, ["a", "b"], "left_anti"), "pairs-left")
+    more = verified(rest, "left")
+    return roots if more.isEmpty() else stored(components(links.unionByName(more)), "all-roots")
 
 
-def complete(
-    links: DataFrame, met: DataFrame, verified: Callable[[DataFrame, str], DataFrame], percent: int = PERCENT
-) -> DataFrame:
-    """``id, root`` by ``links`` and by all links between members of one list.
+def _may_link(met: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a < b`` out of ``node, n, at`` and ``b, m, bt`` that met in a list and may link by it.
 
-    ``met`` is what `meetings` found, ``links`` those of its pairs that link;
-    ``verified`` tells by the pairs and a name which others do. Only members of
-    lists that still hold several components are compared.
+    Sets share nothing before the first list they have in common, so at most what
+    comes from there on in either.
     """
-    roots = stored(components(links), "roots")
-    members = met.filter("key IS NOT NULL").select("key", F.col("a").alias("node"), "n").distinct()
+    sizes = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+    rest = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("bt"))
+    places = (100 + percent) * rest >= percent * (F.col("n") + F.col("m"))
+    return met.filter(sizes & places).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
 
-    def open_lists(members: DataFrame, roots: DataFrame, name: str) -> DataFrame:
-        rooted = members.join(roots.withColumnRenamed("id", "node"), "node", "left").select(
-            "key", "node", "n", F.coalesce("root", "node").alias("root")
-        )
-        several = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
-        return stored(rooted.join(several.select("key"), "key"), name)
 
-    still = open_lists(members, roots, "open")
-    if still.isEmpty():
-        return roots
-    # the member with most links first: copies are often alike to it, if not to each other
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
-    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    ranked = still.join(degree, "node", "left").groupBy("key").agg(
-        F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "node", "n", "root")).alias("top")
-    )
-    to_top = (
-        still.join(ranked.select("key", "top.node", "top.n", "top.root").toDF("key", "b", "m", "other"), "key")
-        .filter(F.col("root") != F.col("other"))
-        .filter(sizes_fit("n", "m", percent))
-        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-        .distinct()
+def _open_lists(members: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+    """The members, with their ``root``, of the lists that hold several components."""
+    rooted = members.join(roots.withColumnRenamed("id", "node"), "node", "left").select(
+        "key", "n", "node", "at", F.coalesce("root", "node").alias("root")
     )
-    more = verified(stored(to_top, "second"), "second")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        roots = stored(components(links), "second-roots")
-        still = open_lists(still.select("key", "node", "n"), roots, "still-open")
-    other = still.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
-    left_over = (
-        still.join(other, "key")
-        .filter("root < other")
-        .filter(sizes_fit("n", "m", percent))
-        .select(F.col("node").alias("a"), "b")
-        .distinct()
-    )
-    more = verified(stored(left_over, "third"), "third")
-    return roots if more.isEmpty() else stored(components(links.unionByName(more)), "all-roots")
+    several = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
+    return stored(rooted.join(several.select("key"), "key"), name)
 
 
 def link_groups(
@@ -296,14 +294,15 @@ def link_groups(
     sizes = np.frombuffer(surveyed.pop(-1, b""), dtype=np.int64)
     unpack = lambda x: np.frombuffer(zlib.decompress(x), dtype=np.uint32)
     # Cells that hold more than chance would bring together have a frequent n-gram.
-    # A block at a time, so the driver holds little more than a flag for each cell.
+    # A block at a time, so the driver holds little more than a byte for each cell.
     mean = sum(int(unpack(x).sum(dtype=np.int64)) for x in surveyed.values()) / CELLS
-    late = np.zeros(CELLS, dtype=bool)
+    late = np.zeros(CELLS, dtype=np.uint8)
     pairs = usual = 0.0
     for block, packed in surveyed.items():
         part = unpack(packed)
         above = part > mean + 6 * np.sqrt(mean) + 2
-        late[block * CELL_BLOCK : (block + 1) * CELL_BLOCK] = above
+        level = 1 + 4 * np.log2(np.maximum(part, 1) / max(1.0, mean))
+        late[block * CELL_BLOCK : (block + 1) * CELL_BLOCK] = np.where(above, np.clip(level, 1, 255), 0)
         rest = part[~above].astype(np.float64)
         pairs += float(rest @ rest)
         usual += float(rest.sum())
@@ -328,12 +327,14 @@ def link_groups(
         """Keys of each set, once in a task however many copies it meets."""
         seen: set[int] = set()
         for batch in slices(batches, "_text"):
-            keys, nodes, n = [], [], []
+            keys, nodes, n, at = [], [], [], []
             for found in sets(batch):
                 node = node_of(found)
                 if len(found) and node not in seen:
                     seen.add(node)
-                    keys.append(set_keys(found, boundary, order.value, percent))
+                    own, places = set_keys(found, boundary, order.value, percent)
+                    keys.append(own)
+                    at.append(places)
                     nodes.append(node)
                     n.append(len(found))
             if keys:
@@ -343,14 +344,14 @@ def link_groups(
                         pa.array(np.concatenate(keys).view(np.int64)),
                         pa.array(np.repeat(np.array(n, dtype=np.int32), each)),
                         pa.array(np.repeat(np.array(nodes, dtype=np.int64), each)),
+                        pa.array(np.concatenate(at)),
                     ],
-                    names=["key", "n", "node"],
+                    names=["key", "n", "node", "at"],
                 )
 
     id_type = rows.schema["id"].dataType.simpleString()
     described = stored(rows.mapInArrow(describe, f"id {id_type}, n int, node long, bitmap binary"), "sets")
-    keyed = rows.filter(F.col("id").isNotNull()).select("_text").mapInArrow(lists, "key long, n int, node long")
-    met = stored(meetings(keyed, percent), "met")
+    keyed = rows.filter(F.col("id").isNotNull()).select("_text").mapInArrow(lists, "key long, n int, node long, at int")
     nodes = described.filter(F.col("id").isNotNull() & (F.col("n") > 0))
     one = nodes.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"))
 
@@ -408,11 +409,10 @@ def link_groups(
             f"{name}-links",
         )
 
-    links = verified(met.filter("key IS NULL").select("a", "b").distinct(), "first")
     # One document may have several rows: its nodes are linked.
     several = nodes.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
     own = nodes.join(several.select("id", "a"), "id").select("a", F.col("node").alias("b")).filter("a <> b")
-    roots = complete(links.unionByName(own), met, verified, percent)
+    roots = linked_lists(keyed, verified, percent, own)
 
     labelled = described.select("id", "n", "node").join(
         roots.withColumnRenamed("id", "node"), "node", "left"
