@@ -22,7 +22,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from doclake.llm.common import ODD, components, mix, near_keys, slices, stored, text_shingles
@@ -158,20 +158,20 @@ def linked_lists(
     left meets all others of its list. No pair that links within a list but
     across components is left out, and none is verified twice.
     """
-    keyed = stored(keyed, "keyed")
-    chance = F.xxhash64("node")
-    lead = keyed.groupBy("key").agg(
-        F.min(F.struct(chance.alias("chance"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("at").alias("bt"))).alias("lead"),
-        F.max(F.struct(chance, "node")).alias("last"),
+    # in the order of nodes, a hash, the first of a list is its leader; nothing of a list is held
+    order = Window.partitionBy("key").orderBy("node")
+    led = keyed.select(
+        "key", "n", "node", "at", F.first("node").over(order).alias("b"), F.first("n").over(order).alias("m"),
+        F.first("at").over(order).alias("bt"),
     )
-    lead = lead.filter(F.col("lead.b") != F.col("last.node")).select("key", "lead")
-    lists = stored(keyed.join(lead, "key").select("key", "n", "node", "at", "lead.b", "lead.m", "lead.bt"), "lists")
-    tested = stored(_may_link(lists.filter(F.col("node") != F.col("b")), percent).distinct(), "pairs")
+    lists = stored(led.filter("node <> b"), "lists")
+    tested = stored(_may_link(lists, percent).distinct(), "pairs")
     links = verified(tested, "first")
     if known is not None:
         links = links.unionByName(known)
     roots = stored(components(links), "roots")
-    still = _open_lists(lists.select("key", "n", "node", "at").distinct(), roots, "open")
+    leaders = lists.select("key", F.col("m").alias("n"), F.col("b").alias("node"), F.col("bt").alias("at"))
+    still = _open_lists(lists.select("key", "n", "node", "at").unionByName(leaders).distinct(), roots, "open")
     number = 0
     while not still.isEmpty():
         number += 1
