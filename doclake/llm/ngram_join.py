@@ -32,6 +32,7 @@ PERCENT = 85
 LARGEST_BOUNDARY = 24  # sizes up to here are counted to choose the boundary
 CELLS = 1 << 22  # counters over which n-grams are counted to find frequent ones
 CELL_BLOCK = 1 << 16
+LEAST_YIELD = 10  # one pair of so many has to link for another round of leaders
 
 
 def least_overlap(n: int, m: int, percent: int = PERCENT) -> int:
@@ -154,7 +155,7 @@ def linked_lists(
 
     All members of a list first meet its leader, the same for most lists of alike
     sets. Where a list still holds several components, each sends one member to
-    meet another leader, round by round, as long as that links some; only what is
+    meet another leader, round by round, as long as that links enough; only what is
     left meets all others of its list. No pair that links within a list but
     across components is left out, and none is verified twice.
     """
@@ -192,12 +193,13 @@ def linked_lists(
         met = sent.select("key", "root", "x.node", "x.n", "x.at").join(leader, "key").filter("root <> other")
         fresh = stored(_may_link(met, percent).distinct().join(tested, ["a", "b"], "left_anti"), f"pairs-{number}")
         more = verified(fresh, f"round-{number}")
-        if more.isEmpty():
-            tested = tested.unionByName(fresh)
-            break
+        found, met_now = more.count(), fresh.count()
         tested, links = tested.unionByName(fresh), links.unionByName(more)
-        roots = stored(components(links), f"roots-{number}")
-        still = _open_lists(still.drop("root"), roots, f"open-{number}")
+        if found:
+            roots = stored(components(links), f"roots-{number}")
+            still = _open_lists(still.drop("root"), roots, f"open-{number}")
+        if found * LEAST_YIELD < met_now or not met_now:
+            break
     if still.isEmpty():
         return roots
     # sizes that may link are in one class or in neighbouring ones
