@@ -387,9 +387,21 @@ def oracle_sql() -> dict[str, str]:
         "keyed_replays": "SELECT CAST(doc_id AS VARCHAR) AS id, source, CASE WHEN doc_id % 9 = 0 THEN 5 "
         "WHEN doc_id % 5 = 0 THEN 3 WHEN doc_id % 4 = 0 THEN 4 ELSE 6 END AS step FROM documents "
         "WHERE doc_id % 9 = 0 OR doc_id % 5 = 0 OR doc_id % 4 = 0 OR doc_id % 3 <> 0",
+        "intake_runs": """
+            WITH docs AS (
+                SELECT source, concat(doc_id, chr(10), text) AS t FROM documents WHERE text IS NOT NULL
+            ), counts AS (SELECT source, CAST(count(*) AS VARCHAR) AS t FROM docs GROUP BY source),
+            sources AS (SELECT count(*) AS n FROM counts)
+            SELECT source, 2::BIGINT AS files, sum(strlen(t) + 1)::BIGINT AS bytes, count(*)::BIGINT AS docs,
+                any_value(n) AS new_0, 0::BIGINT AS changed_0, any_value(n) AS new_1, 0::BIGINT AS changed_1,
+                0::BIGINT AS new_2, 0::BIGINT AS changed_2
+            FROM (FROM docs UNION ALL FROM counts), sources GROUP BY source""",
         "train_topic_model": "SELECT CASE WHEN ('0x' || md5('42:' || doc_id)[:8])::BIGINT % 100 < 20 "
         "THEN 'test' ELSE 'train' END AS side, CASE WHEN quality = 1 THEN 'high' ELSE 'low' END AS topic, "
         "count(*) AS docs, true AS at_least_majority FROM documents JOIN labels USING (doc_id) GROUP BY ALL",
+        "barrier_training": "SELECT CASE WHEN ('0x' || md5('42:' || doc_id)[:8])::BIGINT % 100 < 20 "
+        "THEN 'test' ELSE 'train' END AS side, CASE WHEN quality = 1 THEN 'high' ELSE 'low' END AS topic, "
+        "count(*) AS docs, true AS at_least_majority, true AS same_weights FROM documents JOIN labels USING (doc_id) GROUP BY ALL",
         "save_model": "SELECT doc_id, CASE WHEN quality = 1 THEN 'high' ELSE 'low' END AS topic, "
         "true AS same FROM documents JOIN labels USING (doc_id)",
         "score_cross": f"WITH {_means('-1')}, {_mean_scores('')} SELECT vec_id, score FROM mean_scores",

@@ -16,6 +16,7 @@ from doclake.functions import text as txt
 from doclake.functions import vectors as vec
 from doclake.functions.metadata import first_value_or_empty, meta_fallback
 from doclake.functions.topics import classify_topic, summarise
+from doclake.operators import barrier_training as barrier_training_
 from doclake.operators import answers, cleaning, features, quality, similarity, tables, training
 from doclake.operators.extract import extract_documents, extract_pages
 from doclake.operators.vector_index import VectorIndex
@@ -69,7 +70,7 @@ def scan_files_(spark, sf_dir):
 
 @query
 def intake_runs(spark, sf_dir):
-    """All documents, then one more of each source and another text for one of each, then nothing new."""
+    """A file with the documents of each source, then a small one for each, then nothing new: each is read once."""
     folder = scratch_path(spark, "incoming")
     docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL")
     by_source = docs.select("source", F.concat(F.col("doc_id"), F.lit("\n"), "text").alias("text"))
@@ -87,11 +88,12 @@ def intake_runs(spark, sf_dir):
     runs.append(intake.run())
     runs.append(intake.run())
     source = F.regexp_extract("file_name", "source=([^/]+)/", 1)
-    taken = intake.table.latest().select(source.alias("source"), "bytes", F.length("text_content").alias("chars"))
+    ends = F.length("text_content") - F.length(F.regexp_replace("text_content", "\\x00", ""))
+    taken = intake.table.latest().select(source.alias("source"), "bytes", ends.cast("long").alias("docs"))
     return taken.groupBy("source").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("chars").alias("chars")
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("docs").alias("docs")
     ).select(
-        "source", "files", "bytes", "chars",
+        "source", "files", "bytes", "docs",
         *[F.lit(r[name]).cast("bigint").alias(f"{name}_{i}") for i, r in enumerate(runs) for name in ("new", "changed")],
     )
 
@@ -715,6 +717,21 @@ def _quality_training(spark, sf_dir):
     return training_set(spark, sf_dir)
 
 
+@query
+def barrier_training(spark, sf_dir):
+    """The split, whether held-out rows are told apart, and whether the number of workers matters."""
+    train, test = training.hold_out(_quality_training(spark, sf_dir), "doc_id")
+    sides = cut_lineage(train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test"))))
+    train, test = sides.filter("side = 'train'"), sides.filter("side = 'test'")
+    one, two = (barrier_training_.train_in_step(train, QUALITY, "doc_id", workers=n) for n in (1, 2))
+    right = F.avg((F.col("predicted_topic") == F.col("topic")).cast("int"))
+    most = test.groupBy("topic").count().agg(F.max("count") / F.sum("count")).first()[0]
+    better = one.predict(test).agg(right).first()[0] >= most
+    same = bool(abs(one.weights - two.weights).max() < 1e-9)
+    counted = sides.groupBy("side", "topic").agg(F.count(F.lit(1)).alias("docs"))
+    return counted.withColumn("at_least_majority", F.lit(better)).withColumn("same_weights", F.lit(same))
+
+
 @query
 def train_topic_model(spark, sf_dir):
     """Rows on either side of the split, and whether the held-out ones are told apart."""

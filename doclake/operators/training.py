@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from doclake.constants import TF_BUCKETS, TOPICS
 from doclake.functions.text import col_of
+from doclake.session import scratch_path
 
 SEED = 42
 
@@ -57,14 +58,17 @@ def train_topic_model(
 
     Each round is one distributed pass; only coefficient sums reach the driver.
     """
-    encoded = data.withColumn("label", encode_labels(label, labels).cast("double"))
-    stages = [
-        Tokenizer(inputCol=text, outputCol="_words"),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=TF_BUCKETS),
-        IDF(inputCol="_tf", outputCol="features"),
-        LogisticRegression(maxIter=rounds, regParam=0.01, family="multinomial"),
-    ]
-    return Pipeline(stages=stages).fit(encoded)
+    spark = data.sparkSession
+    encoded = data.select(text, encode_labels(label, labels).cast("double").alias("label"))
+    words = Tokenizer(inputCol=text, outputCol="_words")
+    counts = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=TF_BUCKETS)
+    # counted once: both fits read the stored counts
+    path = scratch_path(spark, "counts")
+    counts.transform(words.transform(encoded)).select("_tf", "label").write.parquet(path)
+    counted = spark.read.parquet(path)
+    idf = IDF(inputCol="_tf", outputCol="features").fit(counted)
+    regression = LogisticRegression(maxIter=rounds, regParam=0.01, family="multinomial")
+    return PipelineModel([words, counts, idf, regression.fit(idf.transform(counted))])
 
 
 def predict_topics(
