@@ -96,14 +96,35 @@ def letters(word: Column, start: Column, count: Column | None = None) -> Column:
     return F.substr(word, start + 1, count) if count is not None else F.substr(word, start + 1)
 
 
+def kept_letters(side: Column, size: Column) -> Column:
+    """Letters of the half of a word of ``size`` letters that the edit leaves as it is: none of up to three."""
+    half = F.floor(size / 2)
+    return F.when(size <= 3, 0).when(side == 0, half).otherwise(size - half).cast("int")
+
+
+def bit(number: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), number.cast("int"))
+
+
+def length_bit(rest: Column) -> Column:
+    """A bit for the number of letters that are left, one for all from 62 on."""
+    return bit(F.least(rest, F.lit(62)))
+
+
+def pair_bit(word: Column, start: Column) -> Column:
+    """A bit for the two letters from ``start``."""
+    return bit(F.pmod(F.xxhash64(letters(word, start, F.lit(2))), F.lit(63)))
+
+
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Starting states and edges of the tries of ``word, n``.
 
-    A node is the hash of its trie and prefix; only the root and nodes where
-    words part or end are kept. Edges are ``node, label, child, ended, ended_n,
-    more``: the word that ends at the child, if one does, and whether longer
-    ones go through it. A chance hit of two hashes only adds edges, and what is
-    found is compared letter by letter.
+    A node is the hash of its trie and prefix; only nodes where words part, end or
+    start their search are kept, and none before any search starts. Edges are
+    ``node, label, child, ended, ended_n, sizes, pairs``: the word that ends at the
+    child, if one does, and bits for how many letters words have behind it and
+    for their next two. A chance hit of two hashes only adds edges and bits, and
+    what is found is compared letter by letter.
     """
     spelled = words.select(
         F.explode(
@@ -114,28 +135,34 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
         ).alias("x"),
         "n",
     ).select("x.*", "n")
-    s = F.col("s")
+    s, pos, size = F.col("s"), F.col("pos"), F.length("s")
+    start = kept_letters(F.col("side"), size)
+    # the first place at which words with a letter less start
+    first = kept_letters(F.col("side"), size - 1)
     node = lambda at: F.xxhash64("side", letters(s, F.lit(0), at))
-    prefixes = spelled.select(
-        "side", "s", "n", F.explode(F.sequence(F.lit(1), F.length(s))).alias("pos")
-    ).withColumn("node", node(F.col("pos")))
-    # the empty text after the last letter comes before all letters
-    after = prefixes.select("node", letters(s, F.col("pos"), F.lit(1)).alias("next"))
+    prefixes = spelled.select("side", "s", "n", F.explode(F.sequence(first, size)).alias("pos"))
+    prefixes = prefixes.withColumn("node", node(pos))
+    # the code of the next letter, 0 behind the last
+    following = F.ascii(letters(s, pos, F.lit(1)))
     nodes = (
-        after.groupBy("node")
-        .agg(F.min("next").alias("low"), F.max("next").alias("high"))
-        .filter("low < high OR low = ''")
-        .select("node", (F.col("low") == "").alias("ends"), (F.col("high") != "").alias("more"))
-    )
+        prefixes.select(
+            "node", following.alias("next"), (pos == start).cast("int").alias("start"),
+            length_bit(size - pos).alias("size"), F.when(pos < size, pair_bit(s, pos)).otherwise(0).alias("pair"),
+        )
+        .groupBy("node")
+        .agg(
+            F.min("next").alias("low"), F.max("next").alias("high"), F.max("start").alias("start"),
+            F.bit_or("size").alias("sizes"), F.bit_or("pair").alias("pairs"),
+        )
+        .filter("low < high OR low = 0 OR start = 1")
+        .select("node", (F.col("low") == 0).alias("ends"), "sizes", "pairs")
+    )
     steps = (
         prefixes.join(nodes, "node")
         .groupBy("side", "s", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "node", "ends", "more"))).alias("steps"))
-    )
-    root = F.struct(
-        F.lit(0).alias("pos"), node(F.lit(0)).alias("node"), F.lit(False).alias("ends"), F.lit(True).alias("more")
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "node", "ends", "sizes", "pairs"))).alias("steps"))
     )
-    paths = stored(steps.withColumn("steps", F.concat(F.array(root), "steps")), "paths")
+    paths = stored(steps, "paths")
 
     def edge(step: Column, i: Column) -> Column:
         before = F.get("steps", i - 1)
@@ -145,53 +172,51 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
             letters(s, before["pos"], step["pos"] - before["pos"]).alias("label"),
             step["node"].alias("child"),
             F.when(step["ends"], ended).alias("ended"),
-            F.when(step["ends"] & (step["pos"] == F.length(s)), F.col("n")).alias("ended_n"),
-            step["more"].alias("more"),
+            F.when(step["ends"] & (step["pos"] == size), F.col("n")).alias("ended_n"),
+            step["sizes"].alias("sizes"),
+            step["pairs"].alias("pairs"),
         )
 
     own = F.filter(F.transform("steps", edge), lambda x: x["node"].isNotNull())
     edges = (
         paths.select(F.explode(own).alias("x"))
         .select("x.*")
-        .groupBy("node", "label", "child", "ended", "more")
+        .groupBy("node", "label", "child", "ended", "sizes", "pairs")
         .agg(F.max("ended_n").alias("ended_n"))
     )
-    half = F.floor(F.length(s) / 2)
-    # of up to three letters, the edit may come before the next node
-    kept = F.when(F.length(s) <= 3, 0).when(F.col("side") == 0, half).otherwise(F.length(s) - half)
-    start = F.element_at(F.filter("steps", lambda x: x["pos"] <= kept), -1)
-    starts = paths.select(
-        "side", "s", "n", start["pos"].alias("pos"), start["node"].alias("node"), F.lit(0).alias("edits")
-    )
+    starts = paths.select("side", "s", "n", start.alias("pos"), node(start).alias("node"), F.lit(0).alias("edits"))
     return starts, stored(edges, "edges")
 
 
 def step(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """The states behind the edges that the given ones can take with one edit at most."""
-    s, pos, label, edits = F.col("s"), F.col("pos"), F.col("label"), F.col("edits")
+    """The states behind the edges that the given ones can take with one edit at most.
+
+    A state with its edit made stays only where words go on with as many letters
+    as the state has left, and with its next two.
+    """
+    s, pos, label, edits, change = (F.col(c) for c in ("s", "pos", "label", "edits", "change"))
     size = F.length(label)
-    after = lambda p, e: F.struct(p.cast("int").alias("pos"), F.lit(e).alias("edits"))
-
-    def taken(change: int) -> Column:
-        """One edit within the label, which then uses ``change`` letters more of the word."""
-        piece = letters(s, pos, size + change)
-        fits = (F.length(piece) == size + change) & (F.levenshtein(piece, label, 1) == 1)
-        return F.when((edits == 0) & fits, after(pos + size + change, 1))
-
-    same = letters(s, pos, size) == label
-    ways = F.array(
-        F.when(same & (edits == 0), after(pos + size, 0)),
-        F.when(same & (edits == 1), after(pos + size, 1)),
-        *[taken(change) for change in (-1, 0, 1)],
-    )
     starts_alike = letters(s, pos, F.lit(1)) == letters(label, F.lit(0), F.lit(1))
-    met = states.join(edges, "node").filter((edits == 0) | starts_alike)
-    return (
-        met.select(
-            "side", "s", "n", "child", "ended", "ended_n", "more",
-            F.explode(F.filter(ways, lambda x: x.isNotNull())).alias("x"),
-        )
-        .select("side", "s", "n", "x.*", F.col("child").alias("node"), "ended", "ended_n", "more")
+    # one edit within the label makes it use so many letters more of the word
+    changes = F.when(edits == 0, F.array(*map(F.lit, (-1, 0, 1)))).otherwise(F.array(F.lit(0)))
+    met = (
+        states.join(edges, "node")
+        .filter((edits == 0) | starts_alike)
+        .select("side", "s", "n", "pos", "edits", "label", "child", "ended", "ended_n", "sizes", "pairs",
+                F.explode(changes).alias("change"))
+        .withColumn("piece", letters(s, pos, size + change))
+        .withColumn("at", pos + size + change)
+    )
+    same = F.col("piece") == label
+    rest = F.length(s) - F.col("at")
+    goes_on = (F.col("sizes").bitwiseAND(length_bit(F.greatest(rest, F.lit(0)))) != 0) & (
+        (rest == 0) | (F.col("pairs").bitwiseAND(pair_bit(s, F.col("at"))) != 0)
+    )
+    own = (change == 0) & same
+    edited = (edits == 0) & (rest >= 0) & goes_on & (F.levenshtein("piece", label, 1) == 1)
+    return met.filter(F.when(own, (edits == 0) | goes_on).otherwise(edited)).select(
+        "side", "s", "n", F.col("at").alias("pos"), F.when(own, edits).otherwise(1).alias("edits"),
+        F.col("child").alias("node"), "ended", "ended_n", (F.col("sizes") != 1).alias("more"),
     )
 
 
