@@ -25,8 +25,8 @@ from doclake.session import cut_lineage
 CAPACITY = 4096
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 500_000
-CACHED_PARTS = 600_000
+CACHED_WORDS = 150_000  # some 20 MB in a worker
+CACHED_PARTS = 100_000  # some 12 MB
 PIECE_COLUMNS = "piece int, start long, length long, ids_crc32 long"
 
 # Pre-tokens of the vocabulary's own pattern, for words of printable ASCII and
