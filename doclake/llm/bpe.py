@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from doclake.llm.common import factorize, list_array, one_thread, slices, tokenizer_path
+from doclake.llm.common import factorize, in_fixed_order, list_array, one_thread, slices, tokenizer_path
 from doclake.llm.packing import byte_letters
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -140,9 +140,11 @@ def encode_decode(
     """``<key>, n_tokens, ids_sha256, decoded_sha256`` of each row; with ``ids``, ids and text too.
 
     A null text counts as empty; the hashes of an empty text are those of an
-    empty string. Repeated rows and null keys stay rows of their own.
+    empty string. Repeated rows and null keys stay rows of their own. Texts are split
+    twice, so an input that may come in another order, such as one behind a
+    shuffle, is stored first.
     """
-    rows = docs.select(F.col(key).alias("_key"), F.coalesce(text, F.lit("")).alias("_text"))
+    rows = in_fixed_order(docs.select(F.col(key).alias("_key"), F.coalesce(text, F.lit("")).alias("_text")))
     key_type = rows.schema["_key"].dataType.simpleString()
     arrow_key = to_arrow_type(rows.schema["_key"].dataType)
 

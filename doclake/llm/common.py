@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -144,6 +145,17 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with its columns of the given names, which an operator needs itself, under
+    free ones, and a function that gives them their names back."""
+    wanted, moved = {n.lower() for n in names}, {}
+    for c in df.columns:
+        if c.lower() in wanted:
+            moved[c] = free_name(df, f"{c}_given")
+    back = {v: k for k, v in moved.items()}
+    return df.withColumnsRenamed(moved), lambda out: out.withColumnsRenamed(back)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, which outlives executors."""
     path = scratch_path(df.sparkSession, name)
@@ -151,6 +163,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+_FIXED = {"Project", "Filter", "Relation", "LocalRelation", "LogicalRDD", "Range", "SubqueryAlias", "View"}
+
+
+def in_fixed_order(df: DataFrame) -> DataFrame:
+    """``df``, stored unless it is a plain reading of files or rows, so that every
+    computation of it gives the same rows in the same order in the same tasks."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    names = [re.match(r"[\s:+|-]*([A-Za-z]+)", line) for line in plan.splitlines() if line.strip()]
+    if all(n and n.group(1) in _FIXED for n in names) and "rand" not in plan:
+        return df
+    return stored(df, "fixed")
+
+
 def near_keys(
     df: DataFrame, column: str | Column, keys: DataFrame, key: str | Column, how: str = "left_semi"
 ) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from doclake.llm.language import _SCRIPT, _STARTS
-from doclake.llm.common import factorize, hash_words, slices, tokenizer_path
+from doclake.llm.common import factorize, hash_words, set_aside, slices, tokenizer_path
 from doclake.session import cut_lineage
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -122,6 +122,9 @@ def main_script(text: str | None) -> int | None:
     return int(np.bincount(kinds, weights=n[alpha]).argmax())
 
 
+OWN_COLUMNS = ("_text", "_script", "_own", "_own_by", "_script_band", "_script_band_by", "_all", "_bands", "_n")
+
+
 def measure(df: DataFrame, text: str = "text", vocabulary: str | None = None) -> DataFrame:
     """``df`` without the text, with the base counts, ``n_tokens`` and the three figures.
 
@@ -212,4 +215,5 @@ def judge(measured: DataFrame, group: str = "lang", band: float = BAND) -> DataF
 
 def quality_rules(df: DataFrame, text: str = "text", group: str = "lang") -> DataFrame:
     """Measure each text once, store the figures, and judge them."""
-    return judge(cut_lineage(measure(df, text)), group)
+    df, named_back = set_aside(df, OWN_COLUMNS)
+    return named_back(judge(cut_lineage(measure(df, text)), group))

@@ -19,10 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from doclake.llm.common import one_thread, slices, tokenizer_path
+from doclake.llm.common import one_thread, set_aside, slices, tokenizer_path
 from doclake.session import cut_lineage
 
 CAPACITY = 4096
+PART_ROWS = 1_000_000  # pieces of one length that a task numbers
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 CACHED_WORDS = 150_000  # some 20 MB in a worker
@@ -113,6 +114,7 @@ def token_pieces(
     Adds ``piece, start, length, ids_crc32`` (columns of these names are
     replaced). A null text counts as empty: one piece that holds the end id.
     """
+    docs, named_back = set_aside(docs, ["_text"])
     added = [c.split()[0] for c in PIECE_COLUMNS.split(", ")]
     kept = [c for c in docs.columns if c not in (text, *added)]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept)
@@ -145,7 +147,7 @@ def token_pieces(
                 names=kept + added,
             )
 
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(cut, schema)
+    return named_back(docs.select(*kept, F.col(text).alias("_text")).mapInArrow(cut, schema))
 
 
 def reduce_and_pack(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, list]]:
@@ -261,12 +263,11 @@ def pack(
     Pieces of one length are numbered in parts, so that a length that very many
     pieces share isn't numbered in one task; ``key`` only makes the order repeat.
     """
-    parts = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = cut_lineage(
-        pieces.drop("sequence_id", "offset").withColumn(
-            "_part", F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int")
-        )
-    )
+    pieces, named_back = set_aside(pieces, ["_part", "_rank", "_before", "_n"])
+    dealt = cut_lineage(pieces.drop("sequence_id", "offset"))
+    least = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-dealt.count() // PART_ROWS))
+    dealt = dealt.withColumn("_part", F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int"))
     counted = dealt.groupBy(length, "_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(length).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counted.select(
@@ -308,4 +309,4 @@ def pack(
                 names=names + ["sequence_id", "offset"],
             )
 
-    return ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    return named_back(ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long"))

@@ -76,25 +76,28 @@ def counts_as_term(word: Column) -> Column:
 
 def disclosing_terms(
     found: DataFrame,
-    docs: DataFrame,
-    text: str = "text",
     contexts: int = CONTEXTS,
     generalise: float = GENERALISE,
 ) -> DataFrame:
     """``term, disclosure`` of the words that tell too much of some entity.
 
-    ``found`` has the text and its ``_base`` spans. Probabilities are shares of
+    ``found`` has ``_text`` and its ``_base`` spans. Windows are of whole words, at
+    most `WINDOW` on either side and within `REACH` characters. Probabilities are shares of
     the corpus's word places: those within the windows of the entity, those of
     the word, those of the word within the windows. A word must be met in
     ``contexts`` different windows, so that copies of one text prove nothing.
     """
-    near = found.filter(F.size("_base") > 0).select(F.col(text).alias("_text"), F.explode("_base").alias("s"))
+    near = found.filter(F.size("_base") > 0).select("_text", F.explode("_base").alias("s"))
     before = F.substring(
         F.col("_text"), F.greatest(F.col("s.start") - REACH, F.lit(0)) + 1, F.least(F.col("s.start"), F.lit(REACH))
     )
     after = F.substring(F.col("_text"), F.col("s.end") + 1, F.lit(REACH))
-    left = F.slice(F.reverse(F.split(before, SPACE)), 1, WINDOW)
-    right = F.slice(F.split(after, SPACE), 1, WINDOW)
+    # what is cut off at the edge of the reach is no word
+    left = F.reverse(F.split(before, SPACE))
+    left = F.slice(left, F.lit(1), F.least(F.lit(WINDOW), F.size(left) - (F.col("s.start") > REACH).cast("int")))
+    right = F.split(after, SPACE)
+    cut = F.length("_text") - F.col("s.end") > REACH
+    right = F.slice(right, F.lit(1), F.least(F.lit(WINDOW), F.size(right) - cut.cast("int")))
     window = near.select(
         F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
         F.transform(F.concat(left, right), term).alias("words"),
@@ -110,7 +113,7 @@ def disclosing_terms(
         .filter(F.col("windows") >= contexts)
     )
     met = cut_lineage(met.join(places, "entity"))
-    words = docs.select(F.split(F.col(text), SPACE).alias("_words"))
+    words = found.select(F.split("_text", SPACE).alias("_words"))
     total = words.agg(F.coalesce(F.sum(F.size("_words")), F.lit(0)).alias("places"))
     # counted by hash and combined before the shuffle: a row per word and task at most
     each = words.select(F.explode("_words").alias("_word")).select(F.xxhash64(term(F.col("_word"))).alias("_term"))
@@ -146,10 +149,14 @@ def find_personal_data(
     text, null keys among them; repeated rows all get their spans. A span of
     kind ``term`` has the disclosure of its word in ``value``.
     """
-    rows = docs.drop("pii_base", "pii_spans").withColumn("_hash", F.xxhash64(F.coalesce(text, F.lit(""))))
-    based = rows.withColumn("_base", base_spans(F.coalesce(F.col(text), F.lit(""))))
-    terms = cut_lineage(disclosing_terms(based, rows, text, contexts, generalise))
-    each = rows.select(F.col(key).alias("_key"), "_hash", F.explode(F.split(F.col(text), SPACE)).alias("_word")).select(
+    kept = [c for c in docs.columns if c.lower() not in ("pii_base", "pii_spans")]
+    # the caller's columns stay in one of their own, so that no name can clash
+    rows = docs.select(F.struct(*kept).alias("_row"))
+    own_text, own_key = F.col("_row").getField(text), F.col("_row").getField(key)
+    rows = rows.select("_row", own_text.alias("_text"), F.xxhash64(F.coalesce(own_text, F.lit(""))).alias("_hash"))
+    based = rows.withColumn("_base", base_spans(F.coalesce("_text", F.lit(""))))
+    terms = cut_lineage(disclosing_terms(based, contexts, generalise))
+    each = rows.select(own_key.alias("_key"), "_hash", F.explode(F.split("_text", SPACE)).alias("_word")).select(
         "_key", "_hash", term(F.col("_word")).alias("term")
     )
     # few texts hold such a word: only they are shuffled
@@ -159,10 +166,10 @@ def find_personal_data(
             F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("_terms")
         )
     )
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_own"))
-    concerned = near_keys(based, "_hash", holds, "_own").join(holds, same, "left").drop("_key", "_own")
+    same = own_key.eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_own"))
+    concerned = near_keys(based, "_hash", holds, "_own").join(holds, same, "left")
     words = F.filter(
-        spans.find(F.col(text), r"[^\x20\x09-\x0D]+", "term", 4),
+        spans.find(F.col("_text"), r"[^\x20\x09-\x0D]+", "term", 4),
         lambda w: F.map_contains_key("_terms", term(w["value"])),
     )
     free = F.filter(
@@ -173,10 +180,9 @@ def find_personal_data(
     others = near_keys(based, "_hash", holds, "_own", "left_anti").withColumn("pii_spans", F.col("_base"))
     return (
         concerned.withColumn("pii_spans", F.array_sort(added))
-        .drop("_terms")
-        .unionByName(others)
-        .withColumnRenamed("_base", "pii_base")
-        .drop("_hash")
+        .select("_row", "_base", "pii_spans")
+        .unionByName(others.select("_row", "_base", "pii_spans"))
+        .select("_row.*", F.col("_base").alias("pii_base"), "pii_spans")
     )
 
 

@@ -20,6 +20,7 @@ from doclake.llm.common import list_array, mix, slices
 
 BITS = 18
 SAMPLE_ROWS = 6_000  # labelled rows to fit on at most, about; see `fit`
+SAMPLE_BYTES = 256 << 20  # of their features, about
 COST = 1.0
 ROUNDS = 20
 CUTOFF = 0.3
@@ -31,9 +32,8 @@ _SEEDS = np.array([11, 13, 17, 19], dtype=np.uint64)
 def features(text: str | None, bits: int = BITS) -> np.ndarray:
     """Sorted distinct hashes of a text's n-grams.
 
-    Runs of one to three characters of the whole text, and runs of one and two
-    words, where a word that repeats the one before it is the mark for "again".
-    A null or empty text has none.
+    Runs of one to three characters of the whole text, and marks for how common
+    words are that repeat the one before them. A null or empty text has none.
     """
     if not text:
         return np.empty(0, dtype=np.uint32)
@@ -48,7 +48,7 @@ def features(text: str | None, bits: int = BITS) -> np.ndarray:
     words = _WORD.findall(text)
     if len(words) > 1:
         again = sum(a == b for a, b in zip(words, words[1:]))
-        # the pair (word, again) as one n-gram, by how common it is in the text
+        # one mark for each doubling of their share
         level = int(np.log2(1 + 64 * again / len(words)))
         marks = np.arange(1, level + 1, dtype=np.uint64)
         grams.append(marks * np.uint64(0xC2B2AE3D27D4EB4F) + _SEEDS[3])
@@ -168,12 +168,14 @@ def fit(
     key: str = "doc_id",
     sample_rows: int = SAMPLE_ROWS,
     bits: int = BITS,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> Model:
     """A model of the texts whose key has a label of 0 or 1 in ``labels``.
 
     At most about ``sample_rows`` labels are taken, half of each class, by a
     hash of the key; only those are sent to the texts, and only their features
-    reach the driver. Rows without a key or label are left out, repeated texts
+    reach the driver, at most about ``sample_bytes``: where texts are so long that
+    there would be more, the hash takes fewer rows. Rows without a key or label are left out, repeated texts
     count once, a null text is an empty one.
     """
     given = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(
@@ -189,6 +191,12 @@ def fit(
     rows = docs.select(
         F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")
     ).join(drawn, "_key")
+    # a text has three features a character at most, and no more than there are
+    weight = F.least(3 * F.length("_text"), F.lit(1 << bits)).cast("long") * 4
+    expected = rows.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    if expected > sample_bytes:
+        share = int(1_000_000 * sample_bytes / expected)
+        rows = rows.filter(F.pmod(F.xxhash64("_key", F.lit("bytes")), F.lit(1_000_000)) < share)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):

@@ -149,7 +149,9 @@ def op6_paragraph_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
-    return fertility.quality_rules(docs).drop("lang")
+    judged = fertility.quality_rules(docs).drop("lang")
+    first = ["doc_id", *fertility.BASE, "base_failed", "kept"]
+    return judged.select(*first, *[c for c in judged.columns if c not in first])
 
 
 def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:

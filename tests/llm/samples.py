@@ -27,5 +27,6 @@ def documents(seed: int = 1, n: int = 30) -> list[tuple]:
 
 def clashing(spark, rows):
     """The rows as a table whose other columns have names that operators use themselves."""
-    table = [(i, t, "en", "x", "y", "z") for i, t in rows]
-    return spark.createDataFrame(table, "doc_id long, text string, lang string, n string, score string, node string")
+    names = ["n", "score", "node", "_hash", "_bucket", "_key", "_text", "_base", "_row", "_found", "_word", "_q", "id", "key"]
+    table = [(i, t, "en", *"x" * len(names)) for i, t in rows]
+    return spark.createDataFrame(table, "doc_id long, text string, lang string, " + ", ".join(f"{n} string" for n in names))

@@ -164,7 +164,7 @@ def test_top_k_matches_brute_force(spark):
     table = spark.createDataFrame(vectors + odd + again, "vec_id long, embedding array<float>").withColumn("rank", F.lit("x"))
     scaled = [(i, [int(np.floor(256 * v)) for v in x]) for i, x in vectors]
     expected = brute(scaled)
-    for blocks in ({}, {"candidate_block": 7, "query_block": 3}):
+    for blocks in ({}, {"candidate_block": 7, "query_bytes": 100}):
         got = {}
         for r in topk.top_k(table, F.col("vec_id") % 50 == 0, **blocks).orderBy("query_id", "rank").collect():
             got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
@@ -219,3 +219,19 @@ def test_pipeline(spark, texts):
     odd = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd, SF_DIR).collect() == []
+
+
+def test_input_in_another_order_each_time(spark):
+    """Texts are split twice; behind an unseeded sort both readings would differ."""
+    rows = documents(9, 40)
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(6).orderBy(F.rand())
+    tokenizer = Tokenizer.from_file(tokenizer_path(bpe.VOCABULARY))
+    expected = {i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) for i, t in rows}
+    assert {r["doc_id"]: r["n_tokens"] for r in bpe.encode_decode(table).collect()} == expected
+
+
+def test_an_id_with_several_vectors_counts_once(spark):
+    rows = [(0, [1.0, 0.0])] + [(1, [x, 0.5]) for x in (2.0, 3.0, 4.0, 5.0, 6.0, 7.0)] + [(i, [1.0 / i, 1.0]) for i in range(2, 9)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(table, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [1, 2, 3, 4, 5] and got[0]["score"] == 256 * 7 * 256
