@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from doclake.llm.common import ODD, components, mix, near_keys, slices, stored, text_shingles
+from doclake.llm.common import ODD, components, mix, near_keys, removed, slices, stored, text_shingles
 
 WIDTH = 4
 PERCENT = 85
@@ -173,6 +173,7 @@ def linked_lists(
     roots = stored(components(links), "roots")
     leaders = lists.select("key", F.col("m").alias("n"), F.col("b").alias("node"), F.col("bt").alias("at"))
     still = _open_lists(lists.select("key", "n", "node", "at").unionByName(leaders).distinct(), roots, "open")
+    removed(lists)
     number = 0
     while not still.isEmpty():
         number += 1
@@ -192,12 +193,14 @@ def linked_lists(
         )
         met = sent.select("key", "root", "x.node", "x.n", "x.at").join(leader, "key").filter("root <> other")
         fresh = stored(_may_link(met, percent).distinct().join(tested, ["a", "b"], "left_anti"), f"pairs-{number}")
+        removed(sent)
         more = verified(fresh, f"round-{number}")
         found, met_now = more.count(), fresh.count()
         tested, links = tested.unionByName(fresh), links.unionByName(more)
         if found:
             roots = stored(components(links), f"roots-{number}")
-            still = _open_lists(still.drop("root"), roots, f"open-{number}")
+            before, still = still, _open_lists(still.drop("root"), roots, f"open-{number}")
+            removed(before)
         if found * LEAST_YIELD < met_now or not met_now:
             break
     if still.isEmpty():
@@ -211,6 +214,7 @@ def linked_lists(
     )
     across = left.join(right, ["key", "class"]).filter("root < other")
     rest = stored(_may_link(across, percent).distinct().join(tested, ["a", "b"], "left_anti"), "pairs-left")
+    removed(still)
     more = verified(rest, "left")
     return roots if more.isEmpty() else stored(components(links.unionByName(more)), "all-roots")
 
@@ -404,12 +408,14 @@ def link_groups(
                     ok.append(100 * common >= percent * union)
                 yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(ok))
 
-        return stored(
+        found = stored(
             likely.join(held.select(F.col("node").alias("a"), F.col("members").alias("am")), "a")
             .join(held.select(F.col("node").alias("b"), F.col("members").alias("bm")), "b")
             .mapInArrow(link, "a long, b long"),
             f"{name}-links",
         )
+        removed(likely, wanted)
+        return found
 
     # One document may have several rows: its nodes are linked.
     several = nodes.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
