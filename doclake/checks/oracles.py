@@ -377,7 +377,11 @@ def oracle_sql() -> dict[str, str]:
         "filter_summary_length": f"WITH {_GOLD} SELECT file_name, octet_length(encode(summary)) AS "
         "summary_bytes FROM gold WHERE octet_length(encode(summary)) > 20",
         "filter_key_eq": "SELECT doc_id, source, lang, n_chars FROM documents WHERE source = 'src7'",
-        "empty_text_rows": f"WITH {_RAW} SELECT file_name FROM raw WHERE title IS NULL OR trim(title) = ''",
+        "empty_text_rows": f"WITH {_RAW} SELECT file_name, 'title' AS column_name FROM raw "
+        "WHERE title IS NULL OR trim(title) = '' UNION ALL SELECT file_name, 'text_content' FROM raw "
+        "WHERE text_content IS NULL OR text_content = '' OR length(text_content) % 11 = 0",
+        "message_faults": "SELECT doc_id AS number, CASE doc_id % 3 WHEN 0 THEN 'malformed' ELSE 'no text' END "
+        "AS fault FROM documents WHERE doc_id % 3 < 2",
         "typed_clean": f"SELECT o_orderkey, o_orderstatus, o_orderpriority, {_text('o_orderdate')} "
         "AS o_orderdate FROM orders",
         "mart_by_topic": with_stats,
@@ -515,10 +519,14 @@ def oracle_sql() -> dict[str, str]:
         "bronze": f"SELECT concat('doc_id=', doc_id) AS file_name, 'text/plain' AS content_type, {_strip('text')} AS text_content, '' AS author, "
         "'' AS title, '' AS created, '' AS language, '' AS num_pages, '2025-03-01 12:00:00' AS "
         "ingested_at FROM documents",
-        "silver": f"WITH {_TF_IDF}, n AS (SELECT file_name, count(*) AS tfidf_buckets FROM tf JOIN idf "
-        "USING (bucket) WHERE tf * w <> 0 GROUP BY file_name) SELECT file_name, author, title, "
-        "language, num_pages, text_clean, text_length, coalesce(tfidf_buckets, 0)::INTEGER AS "
-        "tfidf_buckets, 768 AS dims FROM silver LEFT JOIN n USING (file_name)",
+        "silver": f"WITH {_TF_IDF}, {_unit('silver', 'file_name', 'd')}, n AS (SELECT file_name, count(*) AS "
+        "tfidf_buckets, sum(tf * w * (bucket + 1)) AS tfidf_values FROM tf JOIN idf "
+        "USING (bucket) WHERE tf * w <> 0 GROUP BY file_name), e AS (SELECT file_name, "
+        "sum(weight::DOUBLE * (bucket + 1)) AS embedding_values FROM d GROUP BY file_name) SELECT file_name, "
+        "author, title, language, num_pages, text_clean, text_length, coalesce(tfidf_buckets, 0)::INTEGER AS "
+        "tfidf_buckets, 768 AS dims, round(coalesce(tfidf_values, 0), 3) AS tfidf_values, "
+        "round(embedding_values, 3) AS embedding_values FROM silver LEFT JOIN n USING (file_name) "
+        "LEFT JOIN e USING (file_name)",
         "gold": f"WITH {_GOLD} SELECT {_GOLD_COLUMNS} FROM gold",
         "marts": f"WITH {_STAGING}, told AS (SELECT * FROM staging WHERE "
         "octet_length(encode(summary)) > 20) "

@@ -24,6 +24,7 @@ from doclake.plans import layers, marts, reports
 from doclake.plans.ingest import ingest_tables
 from doclake.session import cut_lineage, scratch_path
 from doclake.sources import from_rows, scan_catalog, scan_csv, scan_files, scan_parquet, stream_source
+from doclake.streaming import documents as documents_stream
 from doclake.streaming.intake import Intake
 from doclake.streaming import stream_classify, stream_run, stream_upsert
 
@@ -333,9 +334,15 @@ def filter_key_eq(spark, sf_dir):
 
 @query
 def empty_text_rows(spark, sf_dir):
-    """Titles serve as the text, many are blank."""
-    trimmed = inputs.raw_documents(spark, sf_dir).withColumn("title", F.trim("title"))
-    return cleaning.empty_text_rows(trimmed, "title").select("file_name")
+    """Rows without a text, and rows whose title is blank."""
+    raw = inputs.raw_documents(spark, sf_dir).withColumn("title", F.trim("title"))
+    # one text in eleven or so is left out
+    texts = raw.withColumn("text_content", F.when(F.length("text_content") % 11 > 0, F.col("text_content")))
+    found = [
+        cleaning.empty_text_rows(rows, column).select("file_name", F.lit(column).alias("column_name"))
+        for rows, column in ((raw, "title"), (texts, "text_content"))
+    ]
+    return found[0].unionByName(found[1])
 
 
 @query
@@ -901,10 +908,27 @@ def bronze(spark, sf_dir):
     )
 
 
+@query
+def message_faults(spark, sf_dir):
+    """Of each three messages one is cut off and one has no text."""
+    number = F.get_json_object("value", "$.title").cast("long")
+    raw = inputs.messages(spark, sf_dir).withColumn("number", number)
+    broken = F.when(F.col("number") % 3 == 0, F.expr("left(value, length(value) - 1)")).when(
+        F.col("number") % 3 == 1, F.to_json(F.struct(F.col("key").alias("file_name")))
+    ).otherwise(F.col("value"))
+    return documents_stream.message_faults(raw.select("number", broken.alias("value"))).select("number", "fault")
+
+
 @query
 def silver(spark, sf_dir):
     built = layers.silver(inputs.raw_documents(spark, sf_dir), now=inputs.fixed_time())
     nonzero = F.filter(vector_to_array("tfidf_features"), lambda v: v != 0)
+
+    def weighed(values):
+        """Every value at the weight of its place."""
+        placed = F.transform(values, lambda v, i: v.cast("double") * (i + 1))
+        return F.round(F.aggregate(placed, F.lit(0.0), lambda total, v: total + v), 3)
+
     return built.select(
         "file_name",
         "author",
@@ -915,6 +939,8 @@ def silver(spark, sf_dir):
         "text_length",
         F.size(nonzero).alias("tfidf_buckets"),
         vec.embedding_dims("embedding").alias("dims"),
+        weighed(vector_to_array("tfidf_features")).alias("tfidf_values"),
+        weighed("embedding").alias("embedding_values"),
     )
 
 
