@@ -47,8 +47,9 @@ def text_words(key: object, text: str, typo_every: int = TYPO_EVERY) -> Counter:
     begin = zlib.crc32(f"{'' if key is None else key}:".encode())
     found = Counter(_RUN.findall(text.encode("utf-8", "surrogatepass").lower()))
     if typo_every:
-        for word in [w for w in found if zlib.crc32(w, begin) % typo_every == 0]:
-            count = found.pop(word)
+        drawn = [w for w in found if zlib.crc32(w, begin) % typo_every == 0]
+        # taken out before any result goes in: a result is not drawn again
+        for word, count in [(w, found.pop(w)) for w in drawn]:
             letters = len(word.decode("utf-8"))
             found[without_letter(word, zlib.crc32(word, begin) % letters)] += count
     return found

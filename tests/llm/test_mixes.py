@@ -215,6 +215,27 @@ def test_words_with_typos(spark):
     assert {tuple(r) for r in spelling.count_words(table).collect()} == set(plain_counts(rows).items())
 
 
+def test_a_typo_that_is_drawn_itself_loses_one_letter_only(spark):
+    def drawn(key, word):
+        return zlib.crc32(f"{key}:{word}".encode()) % 97 == 0
+
+    def typo(key, word):
+        at = zlib.crc32(f"{key}:{word}".encode()) % len(word)
+        return word[:at] + word[at + 1 :]
+
+    long = ((k, "abcdefgh" + c + d) for k in range(3000) for c in "xyzé" for d in "uvw")
+    key, word = next((k, w) for k, w in long if drawn(k, w) and drawn(k, typo(k, w)))
+    short = typo(key, word)
+    rows = [(key, f"{word} {short} " * 3)]
+    expected = {short: 3, typo(key, short): 3}
+    assert plain_counts(rows) == expected
+    for text in (rows[0][1], f"{short} {word} " * 3):
+        counted = spelling.text_words(key, text)
+        assert {w.decode(): n for w, n in counted.items()} == expected
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in spelling.count_words(table).collect()} == set(expected.items())
+
+
 def test_variants_of_the_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
     counts = plain_counts(rows)
