@@ -1,11 +1,13 @@
 """A topic model trained by a group of workers in step: mini-batches, epochs, shared gradients.
 
 Each epoch is one barrier stage over the stored features. A hash of the key and
-the epoch deals rows to global mini-batches, whatever the number of workers; a
-worker streams its share of each, and all gather the sums of the gradients before
-the next step, so that they hold the same weights all the time. What a worker
-holds is a mini-batch and the weights. If one is lost, Spark runs the stage
-again from the weights that the epoch began with.
+the epoch deals rows to global mini-batches, whatever the number of workers; each
+worker has a run of successive mini-batches. Steps follow one another, so workers
+take turns: one streams its rows and makes its steps, then all gather the weights
+that it reached, and the next goes on from there. A gather takes about a second in
+Spark whatever it carries, so their number is that of the workers, not of the
+steps. What a worker holds is a mini-batch and the weights. If one is lost, Spark
+runs the stage again from the weights that the epoch began with.
 """
 
 from __future__ import annotations
@@ -132,30 +134,25 @@ def gradient_sums(weights: np.ndarray, features: np.ndarray, labels: np.ndarray)
     return shares.T @ rows, loss
 
 
-def _steps(batches: Iterator[pa.RecordBatch], number: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Features and labels of each mini-batch in turn, out of rows in the order of ``step``."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-    def taken(upto: int) -> tuple[np.ndarray, np.ndarray]:
-        out = [(x[s == upto], y[s == upto]) for s, x, y in held]
-        held[:] = [(s[s > upto], x[s > upto], y[s > upto]) for s, x, y in held if len(s) and s[-1] > upto]
-        width = TF_BUCKETS if not out else out[0][0].shape[1]
-        features = np.concatenate([x for x, _ in out]) if out else np.zeros((0, width))
-        return features, np.concatenate([y for _, y in out]) if out else np.zeros(0, dtype=np.int64)
-
-    step = 0
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    now = None
     for batch in batches:
         if not batch.num_rows:
             continue
         steps = batch["step"].to_numpy()
         features = batch["features"].flatten().to_numpy().reshape(batch.num_rows, -1)
-        held.append((steps, features, batch["label"].to_numpy().astype(np.int64)))
-        while step < steps[-1]:  # all rows of this step are here
-            yield taken(step)
-            step += 1
-    while step < number:
-        yield taken(step)
-        step += 1
+        marks = batch["label"].to_numpy().astype(np.int64)
+        starts = np.flatnonzero(np.diff(steps, prepend=steps[0] - 1))
+        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+            if held and steps[start] != now:  # all rows of the step before are here
+                yield np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
+                held = []
+            now = steps[start]
+            held.append((features[start:end], marks[start:end]))
+    if held:
+        yield np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
 
 
 def train_in_step(
@@ -174,7 +171,7 @@ def train_in_step(
     """A multi-class model over hashed TF-IDF at unit length, trained on all rows.
 
     ``workers`` tasks have to run at one time. The result is the same for any
-    number of them, up to the order in which gradients are added. Rows of one
+    number of them, up to the order in which rows are added. Rows of one
     key share their mini-batches; null texts count as empty ones. No rows are an error.
     """
     spark = data.sparkSession
@@ -192,26 +189,33 @@ def train_in_step(
             vector_to_array("features").alias("features"),
             "key",
         )
-        ordered = dealt.repartition(workers, "key").sortWithinPartitions("step", "key").drop("key")
+        # step k of n goes to worker k * workers / n
+        turn = F.floor(F.col("step") * workers / number).cast("int")
+        ordered = dealt.repartitionById(workers, turn).sortWithinPartitions("step", "key").drop("key")
         start = spark.sparkContext.broadcast(state)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             group = BarrierTaskContext.get()
             own = start.value
             lost = 0.0
-            for features, marks in _steps(batches, number):
-                gradient, loss = gradient_sums(own.weights, features, marks)
-                sent = np.append(gradient.ravel(), [loss, len(marks)])
-                gathered = group.allGather(base64.b64encode(sent.tobytes()).decode())
-                total = np.sum([np.frombuffer(base64.b64decode(g)) for g in gathered], axis=0)
-                lost += total[-2]
-                if total[-1]:
-                    own.update(total[:-2].reshape(shape) / total[-1], rate, decay)
+            for turn in range(workers):
+                sent = b""
+                if turn == group.partitionId():
+                    for features, marks in _steps(batches):
+                        gradient, loss = gradient_sums(own.weights, features, marks)
+                        lost += loss
+                        own.update(gradient / len(marks), rate, decay)
+                    parts = (own.weights, own.first, own.second)
+                    sent = np.concatenate([*(p.ravel() for p in parts), [own.steps, lost]]).tobytes()
+                gathered = group.allGather(base64.b64encode(sent).decode())[turn]
+                values = np.frombuffer(base64.b64decode(gathered))
+                weights, first, second = values[:-2].reshape(3, *shape)
+                own, lost = _State(weights, first, second, int(values[-2])), values[-1]
             if group.partitionId() == 0:
                 parts = [own.weights, own.first, own.second]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p.ravel().tolist() for p in parts], pa.list_(pa.float64())),
-                     pa.array(range(3), pa.int32()), pa.array([own.steps] * 3, pa.int32()), pa.array([lost] * 3)],
+                     pa.array(range(3), pa.int32()), pa.array([own.steps] * 3, pa.int32()), pa.array([float(lost)] * 3)],
                     names=["values", "part", "steps", "loss"],
                 )
 

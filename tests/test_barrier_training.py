@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from doclake.operators import barrier_training as training
@@ -64,6 +65,27 @@ def test_weights_equal_plain_numpy(spark, trained):
     assert np.abs(state.weights - model.weights).max() < 1e-9
 
 
+def test_gathers_grow_with_the_workers_not_with_the_steps(spark):
+    """A gather takes a second, whatever it carries: 40 steps in each of 3 epochs."""
+    import time
+
+    data = spark.createDataFrame(rows(320), SCHEMA)
+    training.train_in_step(data.limit(8), LABELS, workers=2)  # starts the workers
+    begun = time.monotonic()
+    model = training.train_in_step(data, LABELS, workers=2, batch_rows=8)
+    assert time.monotonic() - begun < 60
+    assert model.losses[0] > model.losses[2]
+
+
+def test_steps_across_batches_are_whole():
+    steps = [0, 0, 2, 2, 2, 5]
+    table = pa.table({"step": steps, "label": range(6), "features": [[float(i), 1.0] for i in range(6)]})
+    for size in range(1, 7):
+        found = [(x[:, 0].tolist(), y.tolist()) for x, y in training._steps(iter(table.to_batches(size)))]
+        assert found == [([0, 1], [0, 1]), ([2, 3, 4], [2, 3, 4]), ([5], [5])]
+    assert list(training._steps(iter([]))) == []
+
+
 def test_saved_model_predicts_the_same(spark, trained):
     data, model = trained
     path = scratch_path(spark, "topics")
