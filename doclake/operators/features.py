@@ -13,6 +13,8 @@ from doclake.functions.vectors import l2_normalise
 from doclake.operators.models import BatchModel, embedding_model
 from doclake.session import scratch_path
 
+COMMON = 1000  # terms in at least one of so many documents are broadcast
+
 
 def tokenize(df: DataFrame, text: str = "text_clean", target: str = "words") -> DataFrame:
     """Lower-case tokens between single white-space characters."""
@@ -99,18 +101,24 @@ def doc_frequency(df: DataFrame, text: str = "text_clean") -> DataFrame:
 def term_tf_idf(df: DataFrame, key: str, text: str = "text_clean") -> DataFrame:
     """``key, term, tf, df, tf_idf`` by token instead of by bucket.
 
-    Terms are counted once and stored; the number of documents of a term is the
-    number of its rows there. The join leaves frequent terms to adaptive
-    execution, which splits them.
+    Texts are dealt by key, so that their terms are counted where they are, and
+    the counts stored; the number of documents of a term is the number of its rows
+    there. Terms in one document of ``COMMON`` or more are at most ``COMMON`` times
+    the terms of an average document; they are broadcast, and only rows of the
+    other terms are shuffled.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "terms")
-    term_counts(df, key, text).write.parquet(path)
+    path, terms = scratch_path(spark, "terms"), scratch_path(spark, "frequency")
+    term_counts(df.select(key, text).repartition(key), key, text).write.parquet(path)
     counts = spark.read.parquet(path)
-    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.parquet(terms)
+    frequency = spark.read.parquet(terms)
     documents = df.select(F.lit(1)).count()
+    common = F.col("df") * COMMON >= documents
+    most = F.broadcast(frequency.filter(common))
+    rest = counts.join(most, "term", "left_anti").join(frequency.filter(~common), "term")
     idf = F.log(F.lit(documents + 1.0) / (F.col("df") + 1))
-    return counts.join(frequency, "term").select(
+    return counts.join(most, "term").unionByName(rest).select(
         key, "term", "tf", "df", (F.col("tf") * idf).alias("tf_idf")
     )
 
