@@ -293,3 +293,32 @@ def test_layers(spark, folder):
     assert names(lake.enriched().latest()) == ["a.txt", "b.HTML", "n.txt"]
     with pytest.raises(ValueError, match="no layer"):
         run_layers(lake, "platinum")
+
+
+def test_text_files_are_those_of_the_writer_and_soon_there(spark, tmp_path):
+    import time
+    from collections import Counter
+
+    from doclake.checks.queries import _write_files
+
+    rows = [(i % 50, f"text {i}\nä") for i in range(60)] + [(7, None), (None, "no key"), (70, "")]
+    data = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id").cache()
+
+    def written(folder):
+        files = [f for f in folder.rglob("*.txt") if f.stat().st_size]
+        return Counter((f.parent.relative_to(folder).as_posix(), tuple(sorted(f.read_bytes().split(b"\n")))) for f in files)
+
+    _write_files(data, str(tmp_path / "own"), "doc_id")
+    data.write.partitionBy("doc_id").text(str(tmp_path / "theirs"))
+    assert written(tmp_path / "own") == written(tmp_path / "theirs")
+    _write_files(data.select("text"), f"file:{tmp_path}/own_rows")
+    data.select("text").write.option("maxRecordsPerFile", 1).text(str(tmp_path / "their_rows"))
+    assert written(tmp_path / "own_rows") == written(tmp_path / "their_rows")
+    _write_files(data.limit(0), str(tmp_path / "none"), "doc_id")
+    assert (tmp_path / "none").is_dir()
+
+    many = spark.range(20_000).selectExpr("id AS doc_id", "'text' AS text").repartition(4, "doc_id")
+    begun = time.monotonic()
+    _write_files(many, str(tmp_path / "many"), "doc_id")
+    assert time.monotonic() - begun < 20  # starting programs for the modes of the files took minutes
+    assert len(list((tmp_path / "many").iterdir())) == 20_000
