@@ -104,3 +104,38 @@ def test_rows_of_one_run_spread_over_all_sort_tasks(spark):
             assert max(sizes) < 0.5 * sum(sizes)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_texts_are_dealt_by_their_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from doclake.plans.layers import dealt_texts
+
+    rows = spark.range(0, 200, 1, 1).select(
+        F.col("id").cast("string").alias("file_name"), F.repeat(F.lit("é "), 500).alias("text_clean")
+    ).withColumn("text_length", F.length("text_clean"))
+    dealt = dealt_texts(rows, task_bytes=5000)
+    assert dealt.rdd.getNumPartitions() == 60 and rows.rdd.getNumPartitions() == 1
+    assert sorted(dealt.collect()) == sorted(rows.collect())
+    assert dealt_texts(rows).rdd.getNumPartitions() == 1
+    assert dealt_texts(rows.limit(0)).count() == 0
+
+
+def test_term_weights_of_frequent_and_other_terms(spark, monkeypatch):
+    import math
+    from collections import Counter
+
+    from doclake.operators import features
+
+    monkeypatch.setattr(features, "COMMON", 3)
+    rows = [("a", "x y x"), ("b", "x z"), ("b", "z q"), (None, "x y"), (None, "x"), ("c", None), ("d", "x")]
+    data = spark.createDataFrame(rows, "file_name string, text_clean string")
+    counts = Counter((k, w) for k, t in rows for w in (t.split() if t else ()))
+    terms = Counter(w for _, w in counts)
+    weighed = features.term_tf_idf(data, "file_name")
+    found = {(r[0], r[1]): (r[2], r[3], round(r[4], 9)) for r in weighed.collect()}
+    assert found == {
+        (k, w): (n, terms[w], round(n * math.log((len(rows) + 1) / (terms[w] + 1)), 9)) for (k, w), n in counts.items()
+    }
+    plan = weighed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 2  # frequent terms aren't shuffled
