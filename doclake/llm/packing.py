@@ -26,15 +26,19 @@ CAPACITY = 4096
 PART_ROWS = 1_000_000  # pieces of one length that a task numbers
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 150_000  # some 20 MB in a worker
-CACHED_PARTS = 100_000  # some 12 MB
+CACHED_WORDS = 150_000  # some 20 MB in a worker, where texts are in other letters
+CACHED_PARTS = 100_000  # some 12 MB, and as much for those before them
 PIECE_COLUMNS = "piece int, start long, length long, ids_crc32 long"
 
 # Pre-tokens of the vocabulary's own pattern, for words of printable ASCII and
 # the letters of Latin-1: those are in normal form and have one lower case each.
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-_STOPS = frozenset(".,")
+# None holds white space, so a text has the parts of its words in turn.
+_PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-zß-öø-ÿ0-9\x20\x09-\x0D]+")
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ\x20\x09-\x0D]*")
+# A word with any other character.
+_OTHER = re.compile(
+    r"(?<![^\x20\x09-\x0D])[!-~À-ÖØ-öø-ÿ]*+[^!-~À-ÖØ-öø-ÿ\x20\x09-\x0D][^\x20\x09-\x0D]*"
+)
 
 
 def byte_letters() -> dict[int, str]:
@@ -48,17 +52,25 @@ def byte_letters() -> dict[int, str]:
 
 
 class PartIds(dict):
-    """Ids of a lower-case pre-token as unsigned 32-bit numbers, emptied at ``CACHED_PARTS``."""
+    """Ids of a lower-case pre-token as unsigned 32-bit numbers.
+
+    At ``CACHED_PARTS`` the table is begun anew, and those in use come back from the one before it.
+    """
 
     def __init__(self, model):
         self.model = model
         self.letters = byte_letters()
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
+        value = self.before.get(part)
+        if value is None:
+            letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            value = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
         if len(self) >= CACHED_PARTS:
+            self.before = dict(self)
             self.clear()
-        letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-        value = self[part] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        self[part] = value
         return value
 
 
@@ -67,8 +79,8 @@ class WordIds(dict):
 
     The vocabulary drops white space before it splits, so a text's ids are
     those of its words in turn. Plain words go to the merge model part by part,
-    others through the whole tokenizer. The table is emptied at ``CACHED_WORDS``
-    words, so its memory is bounded.
+    others through the whole tokenizer. The tables of words and parts are
+    bounded, and so is their memory.
     """
 
     def __init__(self, path: str):
@@ -82,16 +94,31 @@ class WordIds(dict):
         names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, names)) or "(?!)")
 
+    def plain(self, text: str) -> bytes:
+        """Ids of plain words and the white space between them."""
+        return b"".join(map(self.parts.__getitem__, _PARTS.findall(text.lower())))
+
+    def text(self, text: str) -> bytes:
+        """Ids of a text: stretches of plain words at a time, the others word by word."""
+        if self.special.search(text):
+            return b"".join(map(self.__getitem__, text.encode().split()))
+        if _PLAIN.fullmatch(text):
+            return self.plain(text)
+        out, at = [], 0
+        for m in _OTHER.finditer(text):
+            if m.start() > at:
+                out.append(self.plain(text[at : m.start()]))
+            out.append(self[m.group().encode()])
+            at = m.end()
+        out.append(self.plain(text[at:]))
+        return b"".join(out)
+
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
         text = word.decode("utf-8", "replace")
-        if text.isalpha() and text.isascii():
-            value = self.parts[text.lower()]
-        elif text[-1] in _STOPS and text[:-1].isalpha() and text.isascii():
-            value = self.parts[text[:-1].lower()] + self.parts[text[-1]]
-        elif _PLAIN.fullmatch(text) and not self.special.search(text):
-            value = b"".join([self.parts[part] for part in _PARTS.findall(text.lower())])
+        if _PLAIN.fullmatch(text) and not self.special.search(text):
+            value = self.plain(text)
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             value = array("I", ids).tobytes()
@@ -130,8 +157,7 @@ def token_pieces(
         for batch in slices(batches, "_text"):
             rows, piece, start, length, crc = [], [], [], [], []
             for row, value in enumerate(batch["_text"].to_pylist()):
-                words = value.encode().split() if value else []
-                ids = b"".join(map(table.__getitem__, words)) + end
+                ids = (table.text(value) if value else b"") + end
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
                     rows.append(row)

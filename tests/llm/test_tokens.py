@@ -70,6 +70,31 @@ def test_word_ids_are_those_of_the_tokenizer():
         assert got == table.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_text_ids_are_those_of_the_tokenizer():
+    table = packing.WordIds(tokenizer_path(packing.VOCABULARY))
+    for text in [*odd_texts(3000, 5), "It's a “plain”  word's\x0bÉtÉ,\xa0×2 <|endoftext|>x don'T"]:
+        got = np.frombuffer(table.text(text), dtype="<u4").tolist()
+        assert got == table.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_parts_in_use_outlive_a_full_table(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_PARTS", 4)
+    table, encoded = packing.WordIds(tokenizer_path(packing.VOCABULARY)), []
+
+    class Counted:
+        model = table.parts.model
+
+        def tokenize(self, part):
+            encoded.append(part)
+            return self.model.tokenize(part)
+
+    table.parts.model = Counted()
+    text = " ".join(f"The {chr(97 + i)}bc." for i in range(20))
+    got = np.frombuffer(table.text(text), dtype="<u4").tolist()
+    assert got == table.tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoded.count("the") == encoded.count(".") == 1 and len(table.parts) <= 4
+
+
 def check_packing(rows, capacity):
     sequences = {}
     for r in rows:
