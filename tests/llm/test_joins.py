@@ -132,6 +132,54 @@ def test_bitmaps_bound_the_difference():
         assert ngram_join.least_difference(ngram_join.bitmap(a), ngram_join.bitmap(a)) == 0
 
 
+def test_signs_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        pool = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+        a, b = (np.unique(rng.choice(pool, rng.integers(1, 300))) for _ in range(2))
+        for bits in (128, 512):
+            x, y = (ngram_join.sign(s, bits).view(np.uint64) for s in (a, b))
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b)) and len(x) == bits // 64
+
+
+def test_unlike_members_of_a_list_are_not_compared_and_links_are_found(spark):
+    """Families of near copies and single sets, all in two lists; sets are of 100 numbers."""
+    rng = np.random.default_rng(5)
+    sets = {}
+    for family in range(40):
+        base = rng.integers(0, 1 << 63, 100, dtype=np.uint64)
+        for _ in range(1 if family > 4 else 30):
+            own = base.copy()
+            own[rng.integers(0, 100, 6)] = rng.integers(0, 1 << 63, 6, dtype=np.uint64)
+            sets[int(rng.integers(0, 1 << 62))] = np.unique(own)
+    percent = 85
+    linked = {(a, b) for a in sets for b in sets if a < b and 100 * (k := len(np.intersect1d(sets[a], sets[b]))) >= percent * (len(sets[a]) + len(sets[b]) - k)}
+    keyed = spark.createDataFrame([(key, len(s), node, 0) for node, s in sets.items() for key in (1, 2)], "key long, n int, node long, at int")
+    signs = spark.createDataFrame([(node, ngram_join.sign(s).tolist()) for node, s in list(sets.items())[1:]], "node long, sign array<long>")
+    met = {}
+
+    def verified(pairs, name):
+        met[name] = {(r["a"], r["b"]) for r in pairs.collect()}
+        assert len(met[name]) == pairs.count()
+        return spark.createDataFrame([p for p in met[name] if p in linked], "a long, b long")
+
+    roots = {r["id"]: r["root"] for r in ngram_join.linked_lists(keyed, verified, percent, signs=lambda: signs).collect()}
+    expected = {}
+    for a in sets:
+        seen, new = {a}, [a]
+        while new:
+            x = new.pop()
+            more = {b if a == x else a for a, b in linked if x in (a, b)} - seen
+            seen |= more
+            new += more
+        expected[a] = min(seen)
+    assert {x: roots.get(x, x) for x in sets} == expected
+    # a leader for each, then pairs that link or have no sign
+    assert len(met["first"]) == len(sets) - 1
+    assert sum(len(x - linked) for name, x in met.items() if name != "first") < 2 * len(sets)
+    assert not any(x & y for x, y in itertools.combinations(met.values(), 2))
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)]
