@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from doclake.llm import ngram_join, passages
+from doclake.llm import common, ngram_join, passages
 from doclake.llm.common import components, lower_words, near_keys, text_shingles
 from samples import clashing, documents, prose, sentence
 
@@ -193,6 +193,27 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_components_of_few_edges_take_few_jobs_and_equal_those_of_many(spark, monkeypatch):
+    rng = random.Random(7)
+    ids = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(400)]
+    edges = [(rng.choice(ids), rng.choice(ids)) for _ in range(300)] + list(zip(ids[:80], ids[1:81])) + [(None, ids[0])]
+    table = spark.createDataFrame(edges, "a long, b long")
+
+    def found(group):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            rows = sorted(map(tuple, components(table).collect()))
+        finally:
+            spark.sparkContext._jsc.clearJobGroup()
+        return rows, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    few, jobs = found("few")
+    monkeypatch.setattr(common, "FEW_EDGES", 0)
+    many, more = found("many")
+    assert few == many and len(few) > 100
+    assert jobs < 10 < more  # some ten for each of the rounds
+
+
 @pytest.mark.parametrize("how", ["left_semi", "left_anti"])
 def test_near_keys(spark, how):
     rows = spark.range(1000).withColumnRenamed("id", "k")
