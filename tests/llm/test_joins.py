@@ -214,6 +214,22 @@ def test_components_of_few_edges_take_few_jobs_and_equal_those_of_many(spark, mo
     assert jobs < 10 < more  # some ten for each of the rounds
 
 
+def test_what_is_left_of_a_list_meets_few_members_of_a_component_first(spark):
+    """Ten nodes link with all 60 of a component, but leaders don't tell: 645 pairs are left, few have to be tried."""
+    tried = {}
+
+    def verified(pairs, name):
+        tried[name] = pairs.count()
+        return pairs.filter("a <= 60") if name in ("some", "left") else pairs.limit(0)
+
+    keyed = spark.range(1, 71).selectExpr("7L AS key", "100 AS n", "id AS node", "0 AS at")
+    known = spark.range(2, 61).selectExpr("1L AS a", "id AS b")
+    none = spark.createDataFrame([], "node long, sign array<long>")
+    found = ngram_join.linked_lists(keyed, verified, known=known, signs=lambda: none).collect()
+    assert {r["id"]: r["root"] for r in found} == {i: 1 for i in range(1, 71)}
+    assert sum(tried.values()) < 300
+
+
 @pytest.mark.parametrize("how", ["left_semi", "left_anti"])
 def test_near_keys(spark, how):
     rows = spark.range(1000).withColumnRenamed("id", "k")
