@@ -230,6 +230,31 @@ def test_what_is_left_of_a_list_meets_few_members_of_a_component_first(spark):
     assert sum(tried.values()) < 300
 
 
+def test_short_lists_meet_at_once_and_unlike_sizes_never(spark, monkeypatch):
+    """300 lists of two sets of 10 and 40, kept in no table; lists of four, of which only the last two link."""
+    rows = [(k, n, 10 * k + n, 0) for k in range(300) for n in (10, 40)]
+    rows += [(k, 100, 10 * k + i, 0) for k in range(1000, 1040) for i in range(4)]
+    keyed = spark.createDataFrame(rows, "key long, n int, node long, at int")
+    tables, tried = {}, {}
+
+    def stored(df, name):
+        tables[name] = df.cache()
+        return tables[name]
+
+    monkeypatch.setattr(ngram_join, "stored", stored)
+    monkeypatch.setattr(ngram_join, "removed", lambda *tables: None)
+
+    def verified(pairs, name):
+        tried[name] = pairs.count()
+        return pairs.filter("a % 10 = 2 AND b % 10 = 3")
+
+    none = spark.createDataFrame([], "node long, sign array<long>")
+    found = ngram_join.linked_lists(keyed, verified, signs=lambda: none).collect()
+    assert {r["id"]: r["root"] for r in found} == {10 * k + i: 10 * k + 2 for k in range(1000, 1040) for i in (2, 3)}
+    assert tables["lists"].count() == 120
+    assert tried == {"first": 120, "round-1": 120}
+
+
 @pytest.mark.parametrize("how", ["left_semi", "left_anti"])
 def test_near_keys(spark, how):
     rows = spark.range(1000).withColumnRenamed("id", "k")
@@ -277,6 +302,42 @@ def test_long_paragraphs_are_cut_alike():
         assert text[start:end].encode().lower().split() == words
 
 
+def test_words_of_many_texts_are_cut_like_those_of_one():
+    rng = random.Random(8)
+    parts = ["a", "B.", "wörd", "x?", "..", "!", " ", "  ", "\n", "\n \n", ". ", "\x1c", "\u2003", "e.\x85f", "\t", prose(rng, 1), sentence(rng, 60)]
+    texts = [None, "", " \n"] + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    found = passages.Words(texts)
+    units = passages.Units(texts)
+    for i, text in enumerate(texts):
+        expected = passages.paragraphs(text)
+        first, end = found.texts_at[i : i + 2]
+        at = found.piece_at
+        words = [found.flat[at[k] : at[k + 1]].tolist() for k in range(first, end)]
+        assert words == [common.hash_words(w).tolist() for _, _, w in expected]
+        # lines of several pieces and blocks of several lines
+        breaks = [text.count("\n", a[1], b[0]) for a, b in zip(expected, expected[1:])]
+        spans = {(k, k) for k in range(len(expected))}
+        for least in (0, 1):
+            start = 0
+            for k, n in enumerate(breaks + [2] if expected else []):
+                if n > least:
+                    spans.add((start, k))
+                    start = k + 1
+        long = {(a, b) for a, b in spans if sum(len(expected[k][2]) for k in range(a, b + 1)) >= passages.LEAST_WORDS}
+        own = units.owner == i
+        assert sorted(zip(units.place[own].tolist(), units.last[own].tolist())) == sorted(long)
+
+
+def test_signs_of_many_sets_are_lower_bounds():
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 50, n).astype(np.uint64)) for n in (1, 30, 60, 200)]
+    signs = passages.signs(sets).view(np.uint64)
+    for (a, x), (b, y) in itertools.combinations(zip(sets, signs), 2):
+        apart = np.bitwise_count(x ^ y).sum()
+        assert apart <= len(np.setxor1d(a, b)) and apart % 2 == len(np.setxor1d(a, b)) % 2
+    assert passages.signs([]).shape == (0, 2)
+
+
 def test_runs_of_repeated_paragraphs():
     def runs(sizes, repeated):
         return passages.repeated_runs([(0, 0, [b"w"] * n) for n in sizes], repeated, 30)
