@@ -92,6 +92,15 @@ def count_words(
     )
 
 
+def unsent(table: DataFrame) -> DataFrame:
+    """``table`` to be joined by sorting, never sent whole to every task.
+
+    Spark sizes rows behind an explode, and stored tables, by the files they come
+    from: ten MB of distinct words are more than a GB of prefixes.
+    """
+    return table.hint("merge")
+
+
 def letters(word: Column, start: Column, count: Column | None = None) -> Column:
     """``count`` letters from ``start`` (from 0), or all of them."""
     return F.substr(word, start + 1, count) if count is not None else F.substr(word, start + 1)
@@ -159,7 +168,7 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("node", (F.col("low") == 0).alias("ends"), "sizes", "pairs")
     )
     steps = (
-        prefixes.join(nodes, "node")
+        prefixes.join(unsent(nodes), "node")
         .groupBy("side", "s", "n")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "node", "ends", "sizes", "pairs"))).alias("steps"))
     )
@@ -201,7 +210,7 @@ def step(states: DataFrame, edges: DataFrame) -> DataFrame:
     # one edit within the label makes it use so many letters more of the word
     changes = F.when(edits == 0, F.array(*map(F.lit, (-1, 0, 1)))).otherwise(F.array(F.lit(0)))
     met = (
-        states.join(edges, "node")
+        states.join(unsent(edges), "node")
         .filter((edits == 0) | starts_alike)
         .select("side", "s", "n", "pos", "edits", "label", "child", "ended", "ended_n", "sizes", "pairs",
                 F.explode(changes).alias("change"))
@@ -246,7 +255,7 @@ def follow(forms: DataFrame) -> DataFrame:
     roots = stored(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         ahead = roots.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        moved = stored(roots.join(ahead, "root", "left").select("word", "root", "further"), "roots")
+        moved = stored(roots.join(unsent(ahead), "root", "left").select("word", "root", "further"), "roots")
         roots = moved.select("word", F.coalesce("further", "root").alias("root"))
         if moved.filter("further IS NOT NULL").isEmpty():
             return roots
@@ -272,7 +281,7 @@ def group_variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
             F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"),
         )
     )
-    joined = words.join(best, "word", "left")
+    joined = words.join(unsent(best), "word", "left")
     is_form = -F.col("best.less") >= ratio * F.col("n")
     formed = stored(
         joined.select(
@@ -285,6 +294,6 @@ def group_variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
         "forms",
     )
     roots = follow(formed.filter("form IS NOT NULL"))
-    return formed.join(roots, "word", "left").select(
+    return formed.join(unsent(roots), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )

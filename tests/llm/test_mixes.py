@@ -10,7 +10,8 @@ import pytest
 import re
 from pyspark.sql import functions as F
 
-from doclake.llm import mixing, queries, spelling, whitening
+from conftest import plan_of
+from doclake.llm import common, mixing, queries, spelling, whitening
 
 SF_DIR = "/root/testdata/sf0.001"
 VECTORS = "vec_id long, embedding array<float>, component string, n string, x string, white string, i string"
@@ -205,6 +206,21 @@ def plain_counts(rows):
     return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
 
 
+def test_no_table_is_sent_to_every_task(spark, monkeypatch):
+    """Prefixes and states are many times the words they come from; Spark sizes them by those."""
+    plans = []
+
+    def seen(df, name):
+        plans.append(plan_of(df))
+        return common.stored(df, name)
+
+    monkeypatch.setattr(spelling, "stored", seen)
+    counts = {"letter": 9, "lettre": 2, "leter": 3, "ladder": 5, "latter": 7}
+    found = spelling.group_variants(spark.createDataFrame(list(counts.items()), "word string, n long"))
+    plans.append(plan_of(found))
+    assert sum("SortMergeJoin" in p for p in plans) > 4 and not any("Broadcast" in p for p in plans)
+
+
 def test_words_with_typos(spark):
     rng = random.Random(2)
     letters = "abcdeXYZÀÿ÷×ßĀ1 _¿Ā漢"
