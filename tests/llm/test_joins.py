@@ -1,6 +1,7 @@
 """n-gram join, repeated passages and components against brute force."""
 
 import itertools
+import os
 import random
 import re
 
@@ -433,6 +434,38 @@ def test_runs_of_sentences_that_others_hold_singly_go(spark):
     assert passages.repeated_runs(found, singly, beside={k: (k + 1, 10) for k in range(4)}) == [(0, 4, 45)]
 
 
+def test_places_are_gone_and_bands_dealt_singly_before_sets_meet(spark, monkeypatch):
+    """The disk holds keys and places of all paragraphs only until lists are known, and sets of some pairs at a time."""
+    rng = random.Random(7)
+    shared = [prose(rng, 9) for _ in range(4)]
+    rows = [(i, "\n\n".join([prose(rng, 3), shared[i % 4], shared[i % 3].replace(" an", " no")])) for i in range(24)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    columns = ["doc_id", "place", "last", "first", "next"]
+    expected = sorted(map(str, passages.repeated_paragraphs(table).select(*columns).collect()))
+    names, gone, there = [], [], []
+
+    def stored(df, name):
+        if name == "first-members":
+            there.append([f for f in gone if os.path.exists(f)])
+        names.append(name)
+        return common.stored(df, name)
+
+    def removed(*tables):
+        gone.extend(f.removeprefix("file://") for t in tables for f in t.inputFiles() if "/places-" in f)
+        common.removed(*tables)
+
+    for module in (ngram_join, passages):
+        monkeypatch.setattr(module, "stored", stored)
+        monkeypatch.setattr(module, "removed", removed)
+    monkeypatch.setattr(passages, "PAIRS_AT_ONCE", 4)
+    monkeypatch.setattr(passages, "PAIRS_A_SET", 0)
+    monkeypatch.setattr(passages, "signs_allow", lambda *args: F.lit(True))
+    found = sorted(map(str, passages.repeated_paragraphs(table).select(*columns).collect()))
+    assert found == expected and expected
+    assert names.count("lists") == passages.tune_bands()[0] and gone and there[0] == []
+    assert names.count("first-links") > 1
+
+
 def test_registered_queries(spark):
     from doclake.llm import queries
 
