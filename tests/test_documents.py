@@ -16,7 +16,7 @@ from doclake.operators.extract import extract_documents
 from doclake.operators.tables import KeyedTable
 from doclake.plans import Lake, ingest_tables, run_layers, run_marts
 from doclake.session import scratch_path
-from doclake.sources import kafka_options, scan_csv, scan_files, stream_source
+from doclake.sources import files, kafka_options, scan_csv, scan_files, stream_source
 from doclake.plans.layers import gold
 from doclake.streaming import classify_stream, stream_classify, stream_run
 from doclake.streaming.documents import STREAM_SCHEMA, rejected_messages
@@ -50,6 +50,35 @@ def test_scan_files(spark, folder):
     assert names(scan_files(spark, folder, ["txt"], recursive=True)) == ["a.txt", "sub/e.txt"]
 
 
+@pytest.mark.parametrize("recursive", [False, True])
+def test_long_listings_stay_out_of_the_driver(spark, tmp_path, monkeypatch, recursive):
+    """Tasks list and read the same files as Spark's own reader, and no plan holds them."""
+    odd = ["a.txt", "B.TXT", "c d%20é.txt", "_hidden.txt", "_k=1.txt", ".dot.txt", "x.txt._COPYING_", "empty.txt", "p.jpg", "notxt"]
+    for i, name in enumerate(odd + [f"{i}.txt" for i in range(40)]):
+        (tmp_path / name).write_bytes(b"" if name == "empty.txt" else b"\xff\x00" * i + name.encode())
+        os.utime(tmp_path / name, ns=(10**18 + i, 1_700_000_000_123_456_789 + i * 10**6))
+    if recursive:
+        for place in ("k=1/in", "_no", "_metadata", ".git", "deep/er/est"):
+            (tmp_path / place).mkdir(parents=True)
+            (tmp_path / place / "z.txt").write_text(place)
+        os.symlink(tmp_path / "deep", tmp_path / "k=1" / "linked")
+        os.symlink(tmp_path / "nowhere", tmp_path / "broken.txt")
+    folder = f"{tmp_path}/"
+    rows = lambda df: sorted(map(tuple, df.select("path", "modificationTime", "length", "content", "file_name").collect()))
+    by_driver = scan_files(spark, folder, recursive=recursive)
+    expected = rows(by_driver)
+    monkeypatch.setattr(files, "MOST_LISTED", 10)
+    monkeypatch.setattr(files, "READ_BYTES", 30)
+    by_tasks = scan_files(spark, folder, recursive=recursive)
+    assert by_tasks.columns == by_driver.columns and rows(by_tasks) == expected and len(expected) > 40
+    read = set(by_tasks.inputFiles())
+    assert read and not any(f.endswith(("txt", "TXT")) for f in read)
+    # content is read only where it is asked for
+    assert "Python" not in plan_of(by_tasks.select("file_name", "length"))
+    few = names(by_tasks.filter("length < 5"))
+    assert few == sorted(r[4] for r in expected if r[2] < 5)
+
+
 def test_extract(spark, folder):
     rows = {r["file_name"]: r for r in extract_documents(scan_files(spark, folder)).collect()}
     assert rows["a.txt"]["text_content"].startswith("O mercado")
